@@ -55,9 +55,9 @@ def append_new(df: DataFrame, path: str, ddl: str, key: str = "time") -> int:
     return write_by_date(insert_ignore(df, target, key), path, "append", key)
 
 
-def create_table(spark: SparkSession, path: str, ddl: str) -> None:
-    """An empty table, so that readers find its folder and columns."""
-    spark.createDataFrame([], f"{ddl}, date date").write.mode("ignore").parquet(path)
+def create_table(spark: SparkSession, path: str, ddl: str, by: tuple[str, ...] = ("date",)) -> None:
+    """An empty table, so that readers find its folder; an existing one is left alone."""
+    spark.createDataFrame([], ddl).write.mode("ignore").partitionBy(*by).parquet(path)
 
 
 def read_database(

@@ -27,6 +27,7 @@ FEATURES_EVERY = {"processingTime": "20 seconds"}
 PUBLISH_EVERY = {"processingTime": "15 seconds"}
 
 Batch = Callable[[DataFrame, int], None]
+BATCHED = "{}, batch_id bigint, date date"
 
 
 def score(decoded: DataFrame, params: ZParams = STREAM_Z, zone_mode: str = "utc") -> DataFrame:
@@ -46,7 +47,7 @@ def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    return spark.read.schema(f"{ddl}, batch_id bigint, date date").parquet(path)
+    return spark.read.schema(BATCHED.format(ddl)).parquet(path)
 
 
 def replace_metrics(one_row: DataFrame, path: str, batch_id: int) -> None:
@@ -103,6 +104,9 @@ def run_batches(stream: DataFrame, process: Batch, checkpoint: str, trigger: Map
 
 def start_scoring(decoded: DataFrame, folder: str, trigger: Mapping[str, object] = ONCE, zone_mode: str = "utc") -> StreamingQuery:
     """Decoded messages to anomalies, costs and metrics under one folder."""
+    spark = decoded.sparkSession
+    create_table(spark, f"{folder}/anomalies", BATCHED.format(ANOMALY_DDL), ("batch_id", "date"))
+    create_table(spark, f"{folder}/cost_analysis", BATCHED.format(COST_DDL), ("batch_id", "date"))
     process = fan_out(f"{folder}/anomalies", f"{folder}/cost_analysis", f"{folder}/metrics")
     return run_batches(score(decoded, zone_mode=zone_mode), process, f"{folder}/checkpoint", trigger)
 
@@ -166,7 +170,7 @@ def start_unique(readings: DataFrame, folder: str, ddl: str = RAW_DDL, trigger:
     the dates at hand, so neither state nor a watermark is needed and no hot key fills a task.
     """
     path = f"{folder}/readings"
-    create_table(readings.sparkSession, path, ddl)
+    create_table(readings.sparkSession, path, f"{ddl}, date date")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
