@@ -80,9 +80,8 @@ RAW = (
     "week_status, day_of_week, load_type"
 )
 PROCESSED = f"""{RAW}, hour, day, month, quarter, is_weekend, shift, tariff_period, day_period,
-    round(usage_ma_1h, 6) AS usage_ma_1h, round(usage_ma_4h, 6) AS usage_ma_4h, round(usage_diff, 6) AS usage_diff,
-    round(usage_pct_change, 6) AS usage_pct_change, pf_efficiency, reactive_power_balance, low_pf_flag,
-    round(z_score, 6) AS z_score, z_anomaly, round(cost_tl, 6) AS cost_tl, round(cost_saving, 6) AS cost_saving"""
+    round(usage_ma_1h, 6) AS usage_ma_1h, round(usage_ma_4h, 6) AS usage_ma_4h, usage_diff, usage_pct_change, pf_efficiency, reactive_power_balance, low_pf_flag,
+    z_score, z_anomaly, cost_tl, cost_saving"""
 
 ORACLE: dict[str, str] = {}
 
@@ -125,13 +124,13 @@ twin("encode_json", "r", f"""
     SELECT strftime(time, '%Y-%m-%d %H:%M:%S') || {FRACTION} AS key,
       strftime(time, '%Y-%m-%dT%H:%M:%S') || {FRACTION} AS iso_time, usage_kwh, load_type FROM r""")
 twin("sink_topic", "r", "c", "f", """
-    SELECT time, usage_kwh, round(z_score, 6) AS z_score, z_anomaly, tariff_period, shift, round(cost_tl, 6) AS cost_tl FROM f""")
+    SELECT time, usage_kwh, z_score, z_anomaly, tariff_period, shift, cost_tl FROM f""")
 twin("sink_raw", "r", f"SELECT {RAW}, CAST(time AS DATE) AS date FROM r")
 twin("sink_processed", "r", "c", "f", "w",
      f"SELECT {PROCESSED}, CAST(time AS DATE) AS date FROM w WHERE usage_ma_1h IS NOT NULL")
 twin("sink_fanout", "r", "c", "f", "s", "t", "a", "k", """
-    SELECT 'anomalies' AS sink, time, usage_kwh, round(z_score, 6) AS z_score, load_type, NULL AS tariff_type, NULL AS cost_tl FROM a
-    UNION ALL SELECT 'cost_analysis', time, usage_kwh, NULL, load_type, tariff_type, round(cost_tl, 6) FROM k""")
+    SELECT 'anomalies' AS sink, time, usage_kwh, z_score, load_type, NULL AS tariff_type, NULL AS cost_tl FROM a
+    UNION ALL SELECT 'cost_analysis', time, usage_kwh, NULL, load_type, tariff_type, cost_tl FROM k""")
 twin("sink_console", "SELECT count(*) AS rows_seen FROM events")
 twin("time_partitioned", "r", f"SELECT {RAW} FROM r WHERE time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-16'")
 twin("ingest_verify", "r", """
@@ -146,24 +145,23 @@ for column in ("shift", "tariff_period", "day_period"):
     twin(f"feat_{column}", "r", "c", f"SELECT time, {column} FROM c")
 twin("feat_power_factor", "r", "c", "f", "SELECT time, lagging_pf, pf_efficiency, reactive_power_balance, low_pf_flag FROM f")
 twin("feat_zscore_fixed", "r", """
-    SELECT time, usage_kwh, round((usage_kwh - CAST(27.39 AS DOUBLE)) / CAST(33.44 AS DOUBLE), 6) AS z_feature,
-      round((usage_kwh - CAST(35.2 AS DOUBLE)) / CAST(27.8 AS DOUBLE), 6) AS z_stream FROM r""")
+    SELECT time, usage_kwh, (usage_kwh - CAST(27.39 AS DOUBLE)) / CAST(33.44 AS DOUBLE) AS z_feature,
+      (usage_kwh - CAST(35.2 AS DOUBLE)) / CAST(27.8 AS DOUBLE) AS z_stream FROM r""")
 twin("feat_zscore_data", "r", "m", "z", "SELECT time, usage_kwh, round(z_score, 6) AS z_score FROM z")
 twin("feat_cost", "r", "c", "f", """
-    SELECT time, tariff_period, round(cost_tl, 6) AS cost_tl, round(cost_if_night, 6) AS cost_if_night,
-      round(cost_saving, 6) AS cost_saving FROM f""")
+    SELECT time, tariff_period, cost_tl, cost_if_night, cost_saving FROM f""")
 twin("stream_tariff_cost", "r", "c", "f", "s", "t", """
-    SELECT time, usage_kwh, round(hour, 6) AS hour, tariff_type, round(cost_tl, 6) AS cost_tl, round(z_score, 6) AS z_score FROM t""")
+    SELECT time, usage_kwh, hour, tariff_type, cost_tl, z_score FROM t""")
 twin("features_full", "r", "c", "f", "w", f"SELECT {PROCESSED} FROM w WHERE usage_ma_1h IS NOT NULL")
 twin("features_analysis", "r", "c", "f", "w", "q", "e", "m", f"""
     SELECT {RAW}, hour, day, month, quarter, is_weekend, shift, tariff_period, day_period, pf_efficiency,
       reactive_power_balance, low_pf_flag, CAST(dayofyear(time) AS INT) AS day_of_year,
       round(usage_ma_1h, 6) AS usage_ma_1h, round(usage_ma_4h, 6) AS usage_ma_4h, round(usage_ma_24h, 7) AS usage_ma_24h,
-      round(usage_diff, 6) AS usage_diff, round(usage_pct_change, 6) AS usage_pct_change,
+      usage_diff, usage_pct_change,
       round(sum(usage_kwh) OVER (PARTITION BY CAST(time AS DATE) ORDER BY time ROWS UNBOUNDED PRECEDING), 6) AS cumulative_daily,
       round((usage_kwh - mean) / std, 6) AS z_score, abs((usage_kwh - mean) / std) > 3 AS z_anomaly,
       usage_kwh < lower OR usage_kwh > upper AS iqr_outlier,
-      round(cost_tl, 6) AS cost_tl, round(cost_if_night, 6) AS cost_if_night, round(cost_saving, 6) AS cost_saving
+      cost_tl, cost_if_night, cost_saving
     FROM w, e, m""")
 twin("project_rename", "r", "c", "f", "s", "t", "a", "panel", f"""
     SELECT time AS "Zaman", {dec('usage_kwh')} AS "Tüketim (kWh)", {dec('z_score')} AS "Z-Score", load_type AS "Yük Tipi"
@@ -183,11 +181,11 @@ twin("threshold_band", "r", "c", "f", "s", "t", "a", """
     FROM a""")
 
 # --- filters
-twin("flt_spike_or_drop", "r", "c", "f", "SELECT time, usage_kwh, round(z_score, 6) AS z_score, load_type FROM f WHERE z_anomaly")
+twin("flt_spike_or_drop", "r", "c", "f", "SELECT time, usage_kwh, z_score, load_type FROM f WHERE z_anomaly")
 twin("flt_two_sided", "r", "m", "z", "SELECT time, usage_kwh, round(z_score, 6) AS z_score FROM z WHERE abs(z_score) > 3")
 twin("flt_iqr", "r", "q", "e", "SELECT time, usage_kwh, load_type FROM r, e WHERE usage_kwh < lower OR usage_kwh > upper")
-twin("flt_route_anomalies", "r", "c", "f", "s", "t", "a", "SELECT time, usage_kwh, round(z_score, 6) AS z_score, load_type FROM a")
-twin("flt_route_cost", "r", "c", "f", "s", "t", "k", "SELECT time, usage_kwh, tariff_type, round(cost_tl, 6) AS cost_tl, load_type FROM k")
+twin("flt_route_anomalies", "r", "c", "f", "s", "t", "a", "SELECT time, usage_kwh, z_score, load_type FROM a")
+twin("flt_route_cost", "r", "c", "f", "s", "t", "k", "SELECT time, usage_kwh, tariff_type, cost_tl, load_type FROM k")
 twin("flt_time_notnull", "r", "SELECT time, usage_kwh, load_type FROM r WHERE load_type <> 'Maximum_Load'")
 twin("flt_dropna", "r", "c", "f", "w", "SELECT time, round(usage_ma_1h, 6) AS usage_ma_1h FROM w WHERE usage_ma_1h IS NOT NULL")
 twin("flt_time_range", "r", """
@@ -305,16 +303,18 @@ twin("agg_batch_metrics", "r", "c", "f", "s", "t", "a", "k", """
 # --- windows
 WINDOWS = {"win_ma_4": "usage_ma_1h", "win_ma_16": "usage_ma_4h", "win_ma_96": "usage_ma_24h", "win_diff": "usage_diff",
            "win_pct_change": "usage_pct_change"}
-PLACES = {"usage_ma_24h": 7}
+PLACES = {"usage_ma_1h": 6, "usage_ma_4h": 6, "usage_ma_24h": 7}
+SHOWN = {c: f"round({c}, {PLACES[c]}) AS {c}" if c in PLACES else c for c in WINDOWS.values()}
 for name, column in WINDOWS.items():
-    twin(name, "r", "w", f"SELECT time, usage_kwh, round({column}, {PLACES.get(column, 6)}) AS {column} FROM w", series="r")
-twin("win_indexed_halo", "r", "w", "SELECT time, usage_kwh, " + ", ".join(
-    f"round({c}, {PLACES.get(c, 6)}) AS {c}" for c in WINDOWS.values()) + " FROM w", series="r")
-twin("win_cum_daily", "r", """
+    twin(name, "r", "w", f"SELECT time, usage_kwh, {SHOWN[column]} FROM w", series="r")
+for name in ("win_slot_halo", "win_indexed_halo"):
+    twin(name, "r", "w", f"SELECT time, usage_kwh, {', '.join(SHOWN.values())} FROM w", series="r")
+for name in ("win_cum_daily", "win_cum_daily_split"):
+    twin(name, "r", """
     SELECT time, usage_kwh, round(sum(usage_kwh) OVER (PARTITION BY CAST(time AS DATE) ORDER BY time ROWS UNBOUNDED PRECEDING), 4)
       AS cumulative_daily FROM r""")
 twin("win_pct_change_padded", "r", """
-    SELECT time, round((v - lag(v) OVER (ORDER BY time)) / nullif(lag(v) OVER (ORDER BY time), 0) * 100, 6) AS usage_pct_change FROM padded""",
+    SELECT time, (v - lag(v) OVER (ORDER BY time)) / nullif(lag(v) OVER (ORDER BY time), 0) * 100 AS usage_pct_change FROM padded""",
      padded="""SELECT time, last_value(CASE WHEN load_type <> 'Maximum_Load' THEN usage_kwh END IGNORE NULLS)
        OVER (ORDER BY time ROWS UNBOUNDED PRECEDING) AS v FROM r""")
 
@@ -363,8 +363,8 @@ twin("dq_message_fields", """SELECT 'message_fields' AS "check", CAST(count(*) A
 
 # --- streams
 twin("st_enrich", "r", "c", "f", "s", "t", "k", """
-    SELECT time, usage_kwh, tariff_type, round(cost_tl, 6) AS cost_tl, load_type, CAST(time AS DATE) AS date FROM k""")
-twin("st_trigger", "r", "c", "f", "s", "t", "a", "SELECT time, usage_kwh, round(z_score, 6) AS z_score, load_type FROM a")
+    SELECT time, usage_kwh, tariff_type, cost_tl, load_type, CAST(time AS DATE) AS date FROM k""")
+twin("st_trigger", "r", "c", "f", "s", "t", "a", "SELECT time, usage_kwh, z_score, load_type FROM a")
 twin("st_empty_guard", "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows FROM events")
 twin("st_poll_features", "r", "first_delivery", "second_delivery", "taken", "c", "f", "w",
      f"SELECT {PROCESSED} FROM w WHERE usage_ma_1h IS NOT NULL")

@@ -37,8 +37,9 @@ from kilnwatt.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Cut small so that even the smallest test table spans several range partitions and chunks.
+# Cut small so that even the smallest test table spans several slots, range partitions and runs of positions.
 FINE = sr.Layout(rows_per_task=300, chunk_rows=128)
+FINE_POSITIONS = sr.Layout(rows_per_task=300, chunk_rows=128, hot_factor=0)
 FINE_QUANTILES = {"direct_rows": 100, "sort_rows": 50}
 
 
@@ -47,13 +48,17 @@ def query(build: Query) -> Query:
     return build
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double for comparison, since sums of doubles depend on their order.
+MEANS = ("usage_ma_1h", "usage_ma_4h", "usage_ma_24h")
 
+
+def rounded(df: DataFrame, digits: int = 6, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Round doubles for comparison, since sums of doubles depend on their order.
+
+    Rounding a double is slow, so tables of whole rows name the columns that need it in `only`.
     A mean of 96 readings with two decimals can end in a 5 at the seventh, so that column keeps seven.
     """
-    places = {c: 7 if c == "usage_ma_24h" else digits for c, kind in df.dtypes if kind == "double"}
-    return df.withColumns({c: F.round(c, n) for c, n in places.items()})
+    wanted = [c for c, kind in df.dtypes if kind == "double" and (only is None or c in only)]
+    return df.withColumns({c: F.round(c, 7 if c == "usage_ma_24h" else digits) for c in wanted})
 
 
 # --- sources, scans, sinks
@@ -137,7 +142,7 @@ def sink_topic(spark, sf):
     out = fresh_path(spark, "topic")
     topic.publish_files(topic.encode(tb.row_features(spark, sf)), out)
     sent = topic.decode(spark.read.schema(topic.FILE_MESSAGES).parquet(out))
-    return rounded(sent.select("time", "usage_kwh", "z_score", "z_anomaly", "tariff_period", "shift", "cost_tl"))
+    return sent.select("time", "usage_kwh", "z_score", "z_anomaly", "tariff_period", "shift", "cost_tl")
 
 
 @query
@@ -151,7 +156,7 @@ def sink_raw(spark, sf):
 def sink_processed(spark, sf):
     out = fresh_path(spark, "processed")
     tables.write_processed(ft.processed_readings(tb.readings(spark, sf)), out)
-    return rounded(tables.read_by_date(spark, out, PROCESSED_DDL))
+    return rounded(tables.read_by_date(spark, out, PROCESSED_DDL), only=MEANS)
 
 
 def scored_run(spark, sf, zone_mode="utc"):
@@ -168,10 +173,9 @@ def sink_fanout(spark, sf):
     folder = scored_run(spark, sf)
     anomalies = jobs.read_anomalies(spark, folder).select("time", "usage_kwh", "z_score", "load_type")
     costs = jobs.read_costs(spark, folder).select("time", "usage_kwh", "tariff_type", "cost_tl", "load_type")
-    both = anomalies.withColumn("sink", F.lit("anomalies")).unionByName(
+    return anomalies.withColumn("sink", F.lit("anomalies")).unionByName(
         costs.withColumn("sink", F.lit("cost_analysis")), allowMissingColumns=True
     )
-    return rounded(both)
 
 
 @query
@@ -238,7 +242,7 @@ def feat_power_factor(spark, sf):
 @query
 def feat_zscore_fixed(spark, sf):
     both = {"z_feature": m.fixed_z(F.col("usage_kwh"), FEATURE_Z), "z_stream": m.fixed_z(F.col("usage_kwh"), STREAM_Z)}
-    return rounded(tb.readings(spark, sf).select("time", "usage_kwh").withColumns(both))
+    return tb.readings(spark, sf).select("time", "usage_kwh").withColumns(both)
 
 
 @query
@@ -249,23 +253,23 @@ def feat_zscore_data(spark, sf):
 @query
 def feat_cost(spark, sf):
     wide = ft.add_costs(ft.add_calendar(tb.readings(spark, sf)))
-    return rounded(wide.select("time", "tariff_period", "cost_tl", "cost_if_night", "cost_saving"))
+    return wide.select("time", "tariff_period", "cost_tl", "cost_if_night", "cost_saving")
 
 
 @query
 def stream_tariff_cost(spark, sf):
     scored = tb.scored(spark, sf)
-    return rounded(scored.select("time", "usage_kwh", "hour", "tariff_type", "cost_tl", "z_score"))
+    return scored.select("time", "usage_kwh", "hour", "tariff_type", "cost_tl", "z_score")
 
 
 @query
 def features_full(spark, sf):
-    return rounded(ft.processed_readings(tb.readings(spark, sf)))
+    return rounded(ft.processed_readings(tb.readings(spark, sf)), only=MEANS)
 
 
 @query
 def features_analysis(spark, sf):
-    return rounded(ft.analysis_features(tb.readings(spark, sf)))
+    return rounded(ft.analysis_features(tb.readings(spark, sf)), only=(*MEANS, "cumulative_daily", "z_score"))
 
 
 @query
@@ -302,7 +306,7 @@ def threshold_band(spark, sf):
 
 @query
 def flt_spike_or_drop(spark, sf):
-    return rounded(tb.row_features(spark, sf).where("z_anomaly").select("time", "usage_kwh", "z_score", "load_type"))
+    return tb.row_features(spark, sf).where("z_anomaly").select("time", "usage_kwh", "z_score", "load_type")
 
 
 @query
@@ -318,12 +322,12 @@ def flt_iqr(spark, sf):
 
 @query
 def flt_route_anomalies(spark, sf):
-    return rounded(flt.route_anomalies(tb.scored(spark, sf)))
+    return flt.route_anomalies(tb.scored(spark, sf))
 
 
 @query
 def flt_route_cost(spark, sf):
-    return rounded(flt.route_costs(tb.scored(spark, sf)))
+    return flt.route_costs(tb.scored(spark, sf))
 
 
 @query
@@ -588,7 +592,7 @@ def agg_batch_metrics(spark, sf):
 
 def rolled(spark, sf, name, rows, layout=sr.DEFAULT_LAYOUT):
     plain = tb.readings(spark, sf).select("time", "usage_kwh")
-    made = sr.over_series(plain, lambda w: {name: sr.trailing_mean("usage_kwh", rows, w)}, rows - 1, layout=layout)
+    made = sr.over_series(plain, lambda w: {name: sr.trailing_mean("usage_kwh", rows, w)}, rows - 1, ["usage_kwh"], layout=layout)
     return rounded(made)
 
 
@@ -610,26 +614,46 @@ def win_ma_96(spark, sf):
 @query
 def win_diff(spark, sf):
     plain = tb.readings(spark, sf).select("time", "usage_kwh")
-    return rounded(sr.over_series(plain, lambda w: {"usage_diff": sr.change("usage_kwh", w)}, 1))
+    return sr.over_series(plain, lambda w: {"usage_diff": sr.change("usage_kwh", w)}, 1, ["usage_kwh"])
 
 
 @query
 def win_pct_change(spark, sf):
     plain = tb.readings(spark, sf).select("time", "usage_kwh")
-    return rounded(sr.over_series(plain, lambda w: {"usage_pct_change": sr.percent_change("usage_kwh", w)}, 1))
+    return sr.over_series(plain, lambda w: {"usage_pct_change": sr.percent_change("usage_kwh", w)}, 1, ["usage_kwh"])
+
+
+def summed_by_date(spark, sf, layout=sr.DEFAULT_LAYOUT):
+    plain = tb.readings(spark, sf).select("time", "usage_kwh")
+    return rounded(sr.running_sum_by_date(plain, layout=layout), 4, only=("cumulative_daily",))
 
 
 @query
 def win_cum_daily(spark, sf):
+    return summed_by_date(spark, sf)
+
+
+@query
+def win_cum_daily_split(spark, sf):
+    """The daily running sum as it runs when one date is too big for a task."""
+    return summed_by_date(spark, sf, FINE_POSITIONS)
+
+
+def all_rolled(spark, sf, layout):
     plain = tb.readings(spark, sf).select("time", "usage_kwh")
-    return rounded(sr.running_sum_by_date(plain), 4)
+    return rounded(ft.add_rolling(plain, day_frame=True, layout=layout), only=MEANS)
+
+
+@query
+def win_slot_halo(spark, sf):
+    """All rolling columns over time slots with halos, whatever the size."""
+    return all_rolled(spark, sf, FINE)
 
 
 @query
 def win_indexed_halo(spark, sf):
-    """All rolling columns on several range partitions and chunks, whatever the size."""
-    plain = tb.readings(spark, sf).select("time", "usage_kwh")
-    return rounded(ft.add_rolling(plain, day_frame=True, layout=FINE))
+    """All rolling columns over runs of positions with halos, as for a series with a crowded time."""
+    return all_rolled(spark, sf, FINE_POSITIONS)
 
 
 @query
@@ -637,7 +661,7 @@ def win_pct_change_padded(spark, sf):
     """Percentage change with the gaps (here: maximum-load readings) filled from the last known value first."""
     known = F.when(F.col("load_type") != "Maximum_Load", F.col("usage_kwh"))
     plain = tb.readings(spark, sf).select("time", known.alias("usage_kwh"))
-    return rounded(ft.add_rolling(plain, fill="pad", layout=FINE).select("time", "usage_pct_change"))
+    return ft.add_rolling(plain, fill="pad", layout=FINE).select("time", "usage_pct_change")
 
 
 # --- sort, limit, sets
@@ -756,7 +780,7 @@ def dq_message_fields(spark, sf):
 
 @query
 def st_enrich(spark, sf):
-    return rounded(jobs.read_costs(spark, scored_run(spark, sf)).drop("batch_id"))
+    return jobs.read_costs(spark, scored_run(spark, sf)).drop("batch_id")
 
 
 @query
@@ -765,7 +789,7 @@ def st_trigger(spark, sf):
     folder = scored_run(spark, sf)
     again = topic.decode(topic.read_message_files(spark, f"{folder}/topic"))
     jobs.start_scoring(again, folder).awaitTermination()
-    return rounded(jobs.read_anomalies(spark, folder).select("time", "usage_kwh", "z_score", "load_type"))
+    return jobs.read_anomalies(spark, folder).select("time", "usage_kwh", "z_score", "load_type")
 
 
 @query
@@ -792,7 +816,7 @@ def delivered(spark, sf, start):
 def st_poll_features(spark, sf):
     """Features by stream over two deliveries, the frames continuing from one to the next."""
     folder = delivered(spark, sf, lambda s, f: jobs.start_features(s, f, jobs.ONCE))
-    return rounded(jobs.read_processed(spark, folder).drop("batch_id", "date"))
+    return rounded(jobs.read_processed(spark, folder).drop("batch_id", "date"), only=MEANS)
 
 
 @query
@@ -808,7 +832,7 @@ def st_poll_publish(spark, sf):
     folder = fresh_path(spark, "publishing")
     ft.processed_readings(tb.readings(spark, sf)).write.parquet(f"{folder}/in")
     jobs.start_publishing(spark.readStream.schema(PROCESSED_DDL).parquet(f"{folder}/in"), folder, jobs.ONCE).awaitTermination()
-    return rounded(topic.decode(spark.read.schema(topic.FILE_MESSAGES).parquet(f"{folder}/messages")))
+    return rounded(topic.decode(spark.read.schema(topic.FILE_MESSAGES).parquet(f"{folder}/messages")), only=MEANS)
 
 
 @query

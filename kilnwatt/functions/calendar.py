@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kilnwatt.schemas import DAY_NAMES
+
 
 def calendar_parts(time: Column) -> dict[str, Column]:
     return {
@@ -19,7 +21,7 @@ def calendar_parts(time: Column) -> dict[str, Column]:
 def calendar_text(time: Column) -> dict[str, Column]:
     return {
         "nsm": (F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)).cast("int"),
-        "day_of_week": F.date_format(time, "EEEE"),
+        "day_of_week": F.element_at(F.array(*map(F.lit, DAY_NAMES)), F.weekday(time) + 1),
         "week_status": F.when(F.weekday(time) >= 5, "Weekend").when(time.isNotNull(), "Weekday"),
     }
 

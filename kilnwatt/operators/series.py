@@ -1,16 +1,20 @@
 """Row-frame windows over one long time-ordered series, without one task holding the series.
 
-A window ordered by time but partitioned by nothing runs in a single task. Here the series is range
-partitioned, every row gets its global position, and the positions are cut into chunks of equal length.
-A chunk also receives the last rows of the chunk before it (the halo), so each trailing frame is complete
-inside its chunk and the result equals the plain window exactly. Positions, not keys, define the chunks:
-neither a time that a third of the rows share nor a mass of identical rows can fill one of them.
+A window ordered by time but partitioned by nothing runs in a single task. Three ways give the same result:
+
+* one task, when the counted series is small enough for one;
+* time slots: the time range is cut into equal slots, each a window partition, and each slot also receives the
+  last rows before it (its halo) so that every trailing frame is complete. The halo comes from a scan of the few
+  columns the frames read, so the wide rows are exchanged once and nothing is stored;
+* positions, when the counted slots show that some time holds too much of the data: the series is range
+  partitioned, rows are numbered, and equal runs of positions become the window partitions. Not even a mass of
+  identical rows can fill one of those, at the price of a second exchange and a written table.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,18 +30,24 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above, th
 class Layout:
     """How finely a series is cut.
 
-    rows_per_task bounds both a range partition and the series that may run as one plain window;
-    max_tasks bounds the per-partition bookkeeping that is broadcast (one small row each);
-    chunk_rows matches the row count Spark keeps in memory per window group by default.
+    rows_per_task: intended size of a slot or range partition, and the largest series that runs as one window.
+    max_tasks: bounds the number of slots or range partitions, hence the per-slot counts kept on the driver and
+    the bookkeeping rows that are broadcast.
+    hot_factor: a slot this many times larger than intended sends the series to the path by positions.
+    chunk_rows: length of a run of positions; the row count Spark keeps in memory per window group by default.
     """
 
     rows_per_task: int = 250_000
-    max_tasks: int = 100_000
+    max_tasks: int = 200_000
+    hot_factor: int = 4
     chunk_rows: int = 4096
 
     def tasks_for(self, rows: int) -> int:
         return max(1, min(self.max_tasks, math.ceil(rows / self.rows_per_task)))
 
+    def too_hot(self, largest: int, rows: int) -> bool:
+        return largest > self.hot_factor * max(self.rows_per_task, rows / self.tasks_for(rows))
+
 
 DEFAULT_LAYOUT = Layout()
 
@@ -52,42 +62,126 @@ class Frames:
         return self.order.rowsBetween(1 - rows, Window.currentRow)
 
 
-def series_order(df: DataFrame, time: str, tiebreak: Sequence[str] = ()) -> list[Column]:
-    """Sort keys: time, the caller's tie-breakers, then a hash of the row so that ties stay reproducible."""
-    rest = [c for c in df.columns if c not in (time, *tiebreak)]
-    return [F.col(time), *map(F.col, tiebreak), F.xxhash64(*(rest or [time]))]
+Build = Callable[[Frames], dict[str, Column]]
+
+
+def series_order(df: DataFrame, time: str, tiebreak: Sequence[str] = (), values: Sequence[str] = ()) -> list[Column]:
+    """Sort keys: time, the caller's tie-breakers, the windowed values, and a hash of the other columns.
+
+    The values come before the hash so that the sequence of values is settled by the columns a halo carries.
+    """
+    named = list(dict.fromkeys([time, *tiebreak, *values]))
+    rest = [c for c in df.columns if c not in named and not c.startswith("_")]
+    return [*map(F.col, named), F.xxhash64(*(rest or named))]
 
 
 def sort_series(df: DataFrame, time: str = "time", tiebreak: Sequence[str] = (), ascending: bool = True) -> DataFrame:
-    """Global sort by time whose range partitions can be cut inside a group of equal rows."""
-    keys = {f"_k{i}": key for i, key in enumerate(series_order(df, time, tiebreak))}
-    spread = {"_spread": F.monotonically_increasing_id()}
-    names = [*keys, *spread]
-    ordering = [F.asc(n) if ascending else F.desc(n) for n in names]
-    return df.withColumns({**keys, **spread}).orderBy(*ordering).drop(*names)
+    """Global sort by time. The added last key lets a range boundary fall inside a group of equal times."""
+    keys = [*map(F.col, (time, *tiebreak)), F.col("_spread")]
+    spread = df.withColumn("_spread", F.monotonically_increasing_id())
+    return spread.orderBy(*[k.asc() if ascending else k.desc() for k in keys]).drop("_spread")
+
+
+def over_series(
+    df: DataFrame,
+    build: Build,
+    reach: int,
+    values: Sequence[str],
+    time: str = "time",
+    tiebreak: Sequence[str] = (),
+    layout: Layout = DEFAULT_LAYOUT,
+) -> DataFrame:
+    """Add the window columns `build` describes.
+
+    They may read the `values` columns only, and look back at most `reach` rows.
+    """
+    rows = df.count()
+    if rows <= layout.rows_per_task:
+        keys = series_order(df, time, tiebreak, values)
+        return df.withColumns(build(Frames(Window.orderBy(*keys))))
+    slot, counts = count_slots(df, time, rows, layout)
+    if layout.too_hot(max(counts.values()), rows):
+        return by_position(df, build, reach, values, time, tiebreak, layout, rows)
+    return by_slot(df, build, reach, values, time, tiebreak, layout, rows, slot, counts)
+
+
+def count_slots(df: DataFrame, time: str, rows: int, layout: Layout) -> tuple[Column, dict[int, int]]:
+    """Slot of a row, and the rows per slot: at most `max_tasks` + 1 counts. A null time precedes all others."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last = df.agg(F.min(micros), F.max(micros)).first()
+    first, last = first or 0, last or 0
+    width = max(1, math.ceil((last - first + 1) / layout.tasks_for(rows)))
+    slot = F.coalesce(F.floor((micros - F.lit(first)) / F.lit(width)), F.lit(-1))
+    counted = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return slot, {r["slot"]: r["n"] for r in counted.collect()}
+
+
+def halo_sources(counts: Mapping[int, int], reach: int) -> Iterator[tuple[int, int, int]]:
+    """(source slot, target slot, rows): whose last rows precede a target, back to `reach` rows in all."""
+    slots = sorted(counts)
+    for i, target in enumerate(slots):
+        needed = reach
+        for source in reversed(slots[max(0, i - reach):i]):
+            take = min(needed, counts[source])
+            yield source, target, take
+            needed -= take
+            if not needed:
+                break
+
+
+def by_slot(
+    df: DataFrame,
+    build: Build,
+    reach: int,
+    values: Sequence[str],
+    time: str,
+    tiebreak: Sequence[str],
+    layout: Layout,
+    rows: int,
+    slot: Column,
+    counts: Mapping[int, int],
+) -> DataFrame:
+    carried = list(dict.fromkeys([time, *tiebreak, *values]))
+    # Only the order of the carried columns counts here; Spark keeps at most `reach` rows per slot and task
+    # before the exchange.
+    latest_first = Window.partitionBy("_slot").orderBy(*[F.desc(c) for c in carried])
+    tails = (
+        df.select(*carried, slot.alias("_slot"))
+        .withColumn("_back", F.row_number().over(latest_first))
+        .where(F.col("_back") <= reach)
+    )
+    # At most `reach` rows per slot, usually one.
+    sources = df.sparkSession.createDataFrame(list(halo_sources(counts, reach)), "_slot bigint, _to bigint, _take int")
+    halo = (
+        tails.join(F.broadcast(sources), "_slot")
+        .where(F.col("_back") <= F.col("_take"))
+        .select(*carried, F.col("_to").alias("_slot"), F.lit(True).alias("_halo"))
+    )
+    body = df.withColumn("_slot", slot).withColumn("_halo", F.lit(False))
+    slotted = body.unionByName(halo, allowMissingColumns=True).repartition(layout.tasks_for(rows), "_slot")
+    frames = Frames(Window.partitionBy("_slot").orderBy(*series_order(df, time, tiebreak, values)))
+    return slotted.withColumns(build(frames)).where(~F.col("_halo")).drop("_slot", "_halo")
 
 
 def index_series(
     df: DataFrame,
     time: str = "time",
     tiebreak: Sequence[str] = (),
+    values: Sequence[str] = (),
     layout: Layout = DEFAULT_LAYOUT,
     rows: int | None = None,
 ) -> DataFrame:
     """Range partition, sort, and fix `_task` (range partition) and `_pos` (position inside it) in a written table.
 
-    The table is written because a range partitioning is sampled anew each time it is planned. The last sort
-    key only spreads rows that are equal otherwise, so any order among them gives the same result.
+    The table is written because a range partitioning is sampled anew each time it is planned. A tie that falls
+    on a range boundary is cut by the row's place in the input: name tie-breaker columns where that must not
+    depend on the file layout. Rows that are equal in everything may swap freely.
     """
     rows = df.count() if rows is None else rows
-    keys = {f"_k{i}": key for i, key in enumerate(series_order(df, time, tiebreak))}
-    names = [*keys, "_spread"]
-    placed = (
-        df.withColumns({**keys, "_spread": F.monotonically_increasing_id()})
-        .repartitionByRange(layout.tasks_for(rows), *names)
-        .sortWithinPartitions(*names)
-        .drop(*names)
-        .withColumn("_at", F.monotonically_increasing_id())
+    spread = df.withColumn("_spread", F.monotonically_increasing_id())
+    ranged = spread.repartitionByRange(layout.tasks_for(rows), time, *tiebreak, "_spread").drop("_spread")
+    placed = ranged.sortWithinPartitions(*series_order(df, time, tiebreak, values)).withColumn(
+        "_at", F.monotonically_increasing_id()
     )
     at = F.col("_at")
     return (
@@ -105,26 +199,19 @@ def task_starts(indexed: DataFrame) -> DataFrame:
     return sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
 
 
-def over_series(
+def by_position(
     df: DataFrame,
-    build: Callable[[Frames], dict[str, Column]],
+    build: Build,
     reach: int,
-    time: str = "time",
-    tiebreak: Sequence[str] = (),
-    layout: Layout = DEFAULT_LAYOUT,
+    values: Sequence[str],
+    time: str,
+    tiebreak: Sequence[str],
+    layout: Layout,
+    rows: int,
 ) -> DataFrame:
-    """Add the window columns `build` describes; no frame or lag may look back more than `reach` rows."""
     if layout.chunk_rows < reach:
-        raise ValueError("a chunk must be at least as long as the reach of its frames")
-    rows = df.count()
-    if rows <= layout.rows_per_task:
-        # The counted size fits one task, which is all the indexed form would use as well.
-        keys = {f"_k{i}": key for i, key in enumerate(series_order(df, time, tiebreak))}
-        frames = Frames(Window.orderBy(*keys))
-        return df.withColumns(keys).withColumns(build(frames)).drop(*keys)
-
-    indexed = index_series(df, time, tiebreak, layout, rows)
-    # A range partitioning may leave holes in its numbering, so positions come from counted sizes.
+        raise ValueError("a run of positions must be at least as long as the reach of the frames")
+    indexed = index_series(df, time, tiebreak, values, layout, rows)
     numbered = indexed.join(F.broadcast(task_starts(indexed)), "_task").withColumn(
         "_idx", F.col("_start") + F.col("_pos")
     )
@@ -175,28 +262,33 @@ def running_sum_by_date(
 ) -> DataFrame:
     """Running sum that restarts at midnight; null values stay null.
 
-    A date is summed inside each range partition and continued with the total of the same date's earlier
-    partitions, so a date that holds much of the data still spreads over many tasks. Partitions are contiguous
-    in time, hence there are at most `max_tasks` + dates such totals to broadcast.
+    Dates of counted, moderate size are window partitions. Otherwise a date is summed inside each range
+    partition and continued with the total of its earlier partitions, so that one date spreads over many tasks.
     """
-    rows = df.count()
-    indexed = index_series(df, time, tiebreak, layout, rows).withColumn("_date", F.to_date(time))
-    before = Window.partitionBy("_date").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    day = F.to_date(time)
+    order = series_order(df, time, tiebreak, [value])
+    daily = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    rows, largest = daily[0] or 0, daily[1] or 0
+    running = F.when(F.col(value).isNotNull(), F.col(into))
+    if not layout.too_hot(largest, rows):
+        inside = Window.partitionBy("_date").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = df.withColumn("_date", day).withColumn(into, F.sum(value).over(inside))
+        return summed.withColumn(into, running).drop("_date")
+
+    indexed = index_series(df, time, tiebreak, [value], layout, rows).withColumn("_date", day)
+    before = Window.partitionBy("_on").orderBy("_after").rowsBetween(Window.unboundedPreceding, -1)
+    # Range partitions are contiguous in time: there are at most `max_tasks` + dates of these totals.
     carried = (
-        indexed.groupBy("_date", "_task")
+        indexed.groupBy(F.col("_date").alias("_on"), F.col("_task").alias("_after"))
         .agg(F.sum(value).alias("_part"))
-        .select(
-            F.col("_date").alias("_on"),
-            F.col("_task").alias("_after"),
-            F.coalesce(F.sum("_part").over(before), F.lit(0.0)).alias("_carry"),
-        )
+        .withColumn("_carry", F.coalesce(F.sum("_part").over(before), F.lit(0.0)))
     )
     inside = Window.partitionBy("_date", "_task").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         indexed.repartition(layout.tasks_for(rows), "_date", "_task")
         .withColumn(into, F.sum(value).over(inside))
         .join(F.broadcast(carried), F.col("_date").eqNullSafe(F.col("_on")) & (F.col("_task") == F.col("_after")))
-        .withColumn(into, F.when(F.col(value).isNotNull(), F.col("_carry") + F.col(into)))
+        .withColumn(into, F.col("_carry") + running)
         .select(*df.columns, into)
     )
 
@@ -211,7 +303,7 @@ def pad_forward(
 ) -> DataFrame:
     """Fill nulls with the last known value of the series, however far back it lies."""
     rows = df.count()
-    indexed = index_series(df, time, tiebreak, layout, rows)
+    indexed = index_series(df, time, tiebreak, [value], layout, rows)
     latest = indexed.groupBy("_task").agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_pos"))).alias("_last")
     )

@@ -66,13 +66,14 @@ def add_rolling(
         raise ValueError(f"fill must be None or 'pad', not {fill!r}")
     change_of = USAGE
     if fill == "pad":
-        change_of = "_padded"
+        change_of = "padded_usage"
         df = sr.pad_forward(df, USAGE, change_of, tiebreak=tiebreak, layout=layout)
     reach = (ROWS_24H if day_frame else ROWS_4H) - 1
+    values = list(dict.fromkeys([USAGE, change_of]))
     rolled = sr.over_series(
-        df, lambda frames: rolling_columns(frames, day_frame, change_of), reach, tiebreak=tiebreak, layout=layout
+        df, lambda frames: rolling_columns(frames, day_frame, change_of), reach, values, tiebreak=tiebreak, layout=layout
     )
-    return rolled.drop("_padded")
+    return rolled.drop("padded_usage")
 
 
 def processed_readings(
