@@ -40,7 +40,7 @@ QUERIES: dict[str, Query] = {}
 # Cut small so that even the smallest test table spans several slots, range partitions and runs of positions.
 FINE = sr.Layout(rows_per_task=300, chunk_rows=128)
 FINE_POSITIONS = sr.Layout(rows_per_task=300, chunk_rows=128, hot_factor=0)
-FINE_QUANTILES = {"direct_rows": 100, "sort_rows": 50}
+FINE_QUANTILES = {"direct_values": 100, "sort_rows": 50}
 
 
 def query(build: Query) -> Query:

@@ -36,7 +36,7 @@ def events_as_readings(events: DataFrame) -> DataFrame:
         (F.col("user_id") % 80).cast("double").alias("lagging_reactive_power"),
         (event % 20).cast("double").alias("leading_reactive_power"),
         ((event % 80).cast("double") / F.lit(1000.0)).alias("co2_tco2"),
-        F.get_json_object("props", "$.k").cast("double").alias("lagging_pf"),
+        F.regexp_extract("props", "([0-9]+)", 1).cast("double").alias("lagging_pf"),
         ((event * 7) % 101).cast("double").alias("leading_pf"),
         load.alias("load_type"),
     ).withColumns(calendar_text(F.col("time"))).select(*RAW_COLUMNS)

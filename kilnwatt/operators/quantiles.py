@@ -1,7 +1,7 @@
 """Exact interpolated quantiles whose state does not grow with the data.
 
-Spark's exact `percentile` merges every distinct value in one task. That is used only below a counted size.
-Above it, bounded sketches propose values, full counts place each proposal at its exact rank, and the search
+Spark's exact `percentile` merges every distinct value of a column in one task. That is used only for columns
+with few distinct values, such as meter readings of limited precision. For the others bounded sketches propose values, full counts place each proposal at its exact rank, and the search
 interval shrinks strictly around the wanted rank until a proposal hits it or few enough values remain to sort.
 """
 
@@ -14,14 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 250_000  # largest counted column handed to `percentile`
+DIRECT_VALUES = 250_000  # most distinct values (estimated within some percent) handed to `percentile`
 SORT_ROWS = 20_000  # largest counted remainder sorted inside one aggregate
 SKETCH_ACCURACY = 10_000
 
 
 @dataclass
 class _Search:
-    """Rank `rank` (from 0) of a column lies strictly between `low` and `high`; `below` values are <= low."""
+    """The value at 0-based `rank` of a column lies strictly between `low` and `high`; `below` values are <= low."""
 
     column: str
     rank: int
@@ -30,6 +30,10 @@ class _Search:
     low: float | None = None
     high: float | None = None
     found: float | None = None
+    upto: int = 0  # rows at or below the found value
+
+    def interval(self) -> tuple[str, float | None, float | None]:
+        return self.column, self.low, self.high
 
     def inside(self) -> Column:
         value = F.col(self.column)
@@ -40,18 +44,17 @@ class _Search:
             keep = keep & (value < F.lit(self.high))
         return F.when(keep, value)
 
-    def probes(self, accuracy: int) -> Column:
-        share = (self.rank - self.below + 0.5) / self.remaining
-        margin = 2.0 / accuracy
-        at = [min(1.0, max(0.0, share + step)) for step in (-margin, 0.0, margin)]
-        return F.percentile_approx(self.inside(), at, accuracy)
+    def shares(self, accuracy: int) -> list[float]:
+        """Relative ranks just before and just after the wanted one, apart by the error of a sketch."""
+        share, margin = (self.rank - self.below + 0.5) / self.remaining, 2.0 / accuracy
+        return [max(0.0, share - margin), min(1.0, share + margin)]
 
     def narrow(self, ranked: dict[float, tuple[int, int]]) -> None:
         """Use proposals with their counts of smaller and of smaller-or-equal values."""
         upper_start = self.below + self.remaining
         for value, (smaller, upto) in sorted(ranked.items()):
             if smaller <= self.rank < upto:
-                self.found = value
+                self.found, self.upto = value, upto
                 return
             if upto <= self.rank and (self.low is None or value > self.low):
                 self.low, self.below = value, upto
@@ -60,65 +63,86 @@ class _Search:
         self.remaining = upper_start - self.below
 
 
+def _propose(df: DataFrame, searches: list[_Search], sort_rows: int, accuracy: int) -> dict[str, set[float]]:
+    """One pass: per search interval, the exact value where few rows remain, else two values around the rank."""
+    shared: dict[tuple, list[_Search]] = {}
+    for search in searches:
+        shared.setdefault(search.interval(), []).append(search)
+    asked = []
+    for group in shared.values():
+        if group[0].remaining <= sort_rows:
+            ordered = F.array_sort(F.collect_list(group[0].inside()))
+            asked.append(F.array(*[F.element_at(ordered, s.rank - s.below + 1) for s in group]))
+        else:
+            shares = [share for s in group for share in s.shares(accuracy)]
+            asked.append(F.percentile_approx(group[0].inside(), shares, accuracy))
+    answers = df.agg(*asked).first()
+    proposals: dict[str, set[float]] = {}
+    for (column, *_), values in zip(shared, answers):
+        proposals.setdefault(column, set()).update(values)
+    return proposals
+
+
+def _place(df: DataFrame, proposals: dict[str, set[float]]) -> dict[str, dict[float, tuple[int, int]]]:
+    """One pass: how many values are smaller than, and at most, each proposal."""
+    listed = [(c, v) for c, values in proposals.items() for v in sorted(values)]
+    counts = [
+        count
+        for c, v in listed
+        for count in (F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) <= F.lit(v)))
+    ]
+    placed = df.agg(*counts).first()
+    ranked: dict[str, dict[float, tuple[int, int]]] = {c: {} for c in proposals}
+    for i, (c, v) in enumerate(listed):
+        ranked[c][v] = (placed[2 * i], placed[2 * i + 1])
+    return ranked
+
+
 def order_statistics(
     df: DataFrame, ranks: dict[str, set[int]], counts: dict[str, int], sort_rows: int, accuracy: int
-) -> dict[tuple[str, int], float]:
-    """Value at each 0-based rank of each column. Every pass is one aggregation of a few columns."""
+) -> dict[tuple[str, int], tuple[float, float]]:
+    """For each 0-based rank of each column: the value there, and the value one rank on (or the last one)."""
     searches = [_Search(c, r, 0, counts[c]) for c, wanted in ranks.items() for r in sorted(wanted)]
     while open_ := [s for s in searches if s.found is None]:
-        small = [s.remaining <= sort_rows for s in open_]
-        asked = df.agg(
-            *[
-                F.element_at(F.array_sort(F.collect_list(s.inside())), s.rank - s.below + 1).alias(f"a{i}")
-                if done
-                else s.probes(accuracy).alias(f"a{i}")
-                for i, (s, done) in enumerate(zip(open_, small))
-            ]
-        ).first()
-        proposals: list[tuple[_Search, list[float]]] = []
-        for i, (search, done) in enumerate(zip(open_, small)):
-            if done:
-                search.found = asked[i]
-            else:
-                proposals.append((search, sorted(set(asked[i]))))
-        if not proposals:
-            continue
-        distinct = sorted({(s.column, v) for s, values in proposals for v in values})
-        placed = df.agg(
-            *[
-                count
-                for column, v in distinct
-                for count in (F.count_if(F.col(column) < F.lit(v)), F.count_if(F.col(column) <= F.lit(v)))
-            ]
-        ).first()
-        where = {key: (placed[2 * i], placed[2 * i + 1]) for i, key in enumerate(distinct)}
-        for search, values in proposals:
-            search.narrow({v: where[search.column, v] for v in values})
-    return {(s.column, s.rank): s.found for s in searches}
+        ranked = _place(df, _propose(df, open_, sort_rows, accuracy))
+        for search in open_:
+            search.narrow(ranked[search.column])
+    # Where the found value ends at its rank, the next one is the smallest beyond it.
+    ended = sorted({(s.column, s.found) for s in searches if s.rank + 1 == s.upto < counts[s.column]})
+    following: dict[tuple[str, float], float] = {}
+    if ended:
+        beyond = df.agg(*[F.min(F.when(F.col(c) > F.lit(v), F.col(c))) for c, v in ended]).first()
+        following = dict(zip(ended, beyond))
+    return {(s.column, s.rank): (s.found, following.get((s.column, s.found), s.found)) for s in searches}
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
+    direct_values: int = DIRECT_VALUES,
     sort_rows: int = SORT_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """One row: for every column an array with its linearly interpolated quantiles (null when empty)."""
     values = df.select(*[F.when(~F.isnan(c), F.col(c)).cast("double").alias(c) for c in columns])
-    counted = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    if max(counted.values()) <= direct_rows:
-        return values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns])
-
-    filled = {c: n for c, n in counted.items() if n}
-    spots = {c: [p * (n - 1) for p in probabilities] for c, n in filled.items()}
-    ranks = {c: {r for x in at for r in (math.floor(x), math.ceil(x))} for c, at in spots.items()}
-    exact = order_statistics(values, ranks, filled, sort_rows, accuracy)
+    sized = values.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("rows", F.count), ("kinds", F.approx_count_distinct))])
+    sizes = sized.first().asDict()
+    searched = [c for c in columns if sizes[f"kinds_{c}"] > direct_values]
+    direct = values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns if c not in searched] or [F.lit(0)])
+    if not searched:
+        return direct
+
+    counts = {c: sizes[f"rows_{c}"] for c in searched}
+    spots = {c: [p * (counts[c] - 1) for p in probabilities] for c in searched}
+    ranks = {c: {math.floor(at) for at in spots[c]} for c in searched}
+    exact = order_statistics(values, ranks, counts, sort_rows, accuracy)
 
     def quantile(column: str, at: float) -> float:
-        low, high = exact[column, math.floor(at)], exact[column, math.ceil(at)]
+        low, high = exact[column, math.floor(at)]
         return low + (high - low) * (at - math.floor(at))
 
-    row = tuple([quantile(c, at) for at in spots[c]] if c in spots else None for c in columns)
-    return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))
+    found = direct.first().asDict() | {c: [quantile(c, at) for at in spots[c]] for c in searched}
+    return df.sparkSession.createDataFrame(
+        [tuple(found[c] for c in columns)], ", ".join(f"`{c}` array<double>" for c in columns)
+    )

@@ -99,21 +99,47 @@ def over_series(
     if rows <= layout.rows_per_task:
         keys = series_order(df, time, tiebreak, values)
         return df.withColumns(build(Frames(Window.orderBy(*keys))))
-    slot, counts = count_slots(df, time, rows, layout)
-    if layout.too_hot(max(counts.values()), rows):
+    slots = count_slots(df, time, rows, reach, layout)
+    if layout.too_hot(max(slots.counts.values()), rows):
         return by_position(df, build, reach, values, time, tiebreak, layout, rows)
-    return by_slot(df, build, reach, values, time, tiebreak, layout, rows, slot, counts)
+    return by_slot(df, build, reach, values, time, tiebreak, layout, rows, slots)
 
 
-def count_slots(df: DataFrame, time: str, rows: int, layout: Layout) -> tuple[Column, dict[int, int]]:
-    """Slot of a row, and the rows per slot: at most `max_tasks` + 1 counts. A null time precedes all others."""
+@dataclass(frozen=True)
+class Slots:
+    """Equal cuts of the time range; `counts` and `ends` are the rows per slot and in the closing part of it."""
+
+    of: Column
+    closing: Column
+    counts: Mapping[int, int]
+    ends: Mapping[int, int]
+
+    def enough(self, reach: int) -> bool:
+        return all(self.ends[slot] >= min(reach, n) for slot, n in self.counts.items())
+
+
+def count_slots(df: DataFrame, time: str, rows: int, reach: int, layout: Layout) -> Slots:
+    """Cut the series into slots whose closing parts hold at least `reach` rows, or all the slot has.
+
+    At most `max_tasks` + 1 counts reach the driver. A null time precedes all others. The closing part starts
+    at several times the share of a slot that `reach` rows need on average, and grows until it suffices.
+    """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     first, last = df.agg(F.min(micros), F.max(micros)).first()
     first, last = first or 0, last or 0
-    width = max(1, math.ceil((last - first + 1) / layout.tasks_for(rows)))
-    slot = F.coalesce(F.floor((micros - F.lit(first)) / F.lit(width)), F.lit(-1))
-    counted = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    return slot, {r["slot"]: r["n"] for r in counted.collect()}
+    tasks = layout.tasks_for(rows)
+    width = max(1, math.ceil((last - first + 1) / tasks))
+    offset = (micros - F.lit(first)) / F.lit(width)
+    slot = F.coalesce(F.floor(offset), F.lit(-1)).cast("int")
+    share = 8 * reach * tasks / rows
+    while True:
+        closing = F.coalesce(offset - F.floor(offset) >= 1 - share, F.lit(True)) if share < 1 else F.lit(True)
+        counted = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.count_if(closing).alias("end"))
+        found = counted.collect()
+        slots = Slots(slot, closing, {r["slot"]: r["n"] for r in found}, {r["slot"]: r["end"] for r in found})
+        if slots.enough(reach) or share >= 1:
+            return slots
+        share *= 8
 
 
 def halo_sources(counts: Mapping[int, int], reach: int) -> Iterator[tuple[int, int, int]]:
@@ -138,27 +164,28 @@ def by_slot(
     tiebreak: Sequence[str],
     layout: Layout,
     rows: int,
-    slot: Column,
-    counts: Mapping[int, int],
+    slots: Slots,
 ) -> DataFrame:
     carried = list(dict.fromkeys([time, *tiebreak, *values]))
-    # Only the order of the carried columns counts here; Spark keeps at most `reach` rows per slot and task
-    # before the exchange.
+    # Only the order of the carried columns counts here. Of the closing rows Spark keeps at most `reach` per
+    # slot and task before the exchange.
     latest_first = Window.partitionBy("_slot").orderBy(*[F.desc(c) for c in carried])
     tails = (
-        df.select(*carried, slot.alias("_slot"))
+        df.where(slots.closing)
+        .select(*carried, slots.of.alias("_slot"))
         .withColumn("_back", F.row_number().over(latest_first))
         .where(F.col("_back") <= reach)
     )
     # At most `reach` rows per slot, usually one.
-    sources = df.sparkSession.createDataFrame(list(halo_sources(counts, reach)), "_slot bigint, _to bigint, _take int")
+    sources = df.sparkSession.createDataFrame(list(halo_sources(slots.counts, reach)), "_slot int, _to int, _take int")
     halo = (
         tails.join(F.broadcast(sources), "_slot")
         .where(F.col("_back") <= F.col("_take"))
         .select(*carried, F.col("_to").alias("_slot"), F.lit(True).alias("_halo"))
     )
-    body = df.withColumn("_slot", slot).withColumn("_halo", F.lit(False))
-    slotted = body.unionByName(halo, allowMissingColumns=True).repartition(layout.tasks_for(rows), "_slot")
+    body = df.withColumn("_slot", slots.of).withColumn("_halo", F.lit(False))
+    # One task per slot: hashing the slot numbers would put several into one task.
+    slotted = body.unionByName(halo, allowMissingColumns=True).repartitionById(layout.tasks_for(rows), "_slot")
     frames = Frames(Window.partitionBy("_slot").orderBy(*series_order(df, time, tiebreak, values)))
     return slotted.withColumns(build(frames)).where(~F.col("_halo")).drop("_slot", "_halo")
 
