@@ -108,12 +108,12 @@ def order_statistics(
         for search in open_:
             search.narrow(ranked[search.column])
     # Where the found value ends at its rank, the next one is the smallest beyond it.
-    ended = sorted({(s.column, s.found) for s in searches if s.rank + 1 == s.upto < counts[s.column]})
-    following: dict[tuple[str, float], float] = {}
-    if ended:
-        beyond = df.agg(*[F.min(F.when(F.col(c) > F.lit(v), F.col(c))) for c, v in ended]).first()
-        following = dict(zip(ended, beyond))
-    return {(s.column, s.rank): (s.found, following.get((s.column, s.found), s.found)) for s in searches}
+    last_of_value = [s for s in searches if s.rank + 1 == s.upto < counts[s.column]]
+    following = {(s.column, s.rank): s.found for s in searches}
+    if last_of_value:
+        beyond = df.agg(*[F.min(F.when(F.col(s.column) > F.lit(s.found), F.col(s.column))) for s in last_of_value]).first()
+        following |= {(s.column, s.rank): value for s, value in zip(last_of_value, beyond)}
+    return {(s.column, s.rank): (s.found, following[(s.column, s.rank)]) for s in searches}
 
 
 def exact_quantiles(
