@@ -27,6 +27,7 @@ from kilnwatt.schemas import (
     RAW_COLUMNS,
     RAW_DDL,
     RAW_MESSAGE_DDL,
+    SCORED_MESSAGE_DDL,
     STREAM_Z,
     TARIFFS,
 )
@@ -163,7 +164,7 @@ def scored_run(spark, sf, zone_mode="utc"):
     """Publish every reading with its row features, run the scoring stream once, return its folder."""
     folder = fresh_path(spark, "scoring")
     topic.publish_files(topic.encode(tb.row_features(spark, sf)), f"{folder}/topic")
-    decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic"))
+    decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic"), SCORED_MESSAGE_DDL)
     jobs.start_scoring(decoded, folder, zone_mode=zone_mode).awaitTermination()
     return folder
 
@@ -787,7 +788,7 @@ def st_enrich(spark, sf):
 def st_trigger(spark, sf):
     """The scoring job started twice on one checkpoint: the second start finds nothing new."""
     folder = scored_run(spark, sf)
-    again = topic.decode(topic.read_message_files(spark, f"{folder}/topic"))
+    again = topic.decode(topic.read_message_files(spark, f"{folder}/topic"), SCORED_MESSAGE_DDL)
     jobs.start_scoring(again, folder).awaitTermination()
     return jobs.read_anomalies(spark, folder).select("time", "usage_kwh", "z_score", "load_type")
 
@@ -798,7 +799,7 @@ def st_empty_guard(spark, sf):
     folder = scored_run(spark, sf)
     broken = topic.encode(tb.row_features(spark, sf)).select("key", F.lit("{broken").alias("value"))
     topic.publish_files(broken, f"{folder}/topic")
-    decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic"))
+    decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic"), SCORED_MESSAGE_DDL)
     jobs.start_scoring(decoded, folder).awaitTermination()
     return stats.count_by(jobs.read_costs(spark, folder), "batch_id")
 

@@ -24,6 +24,8 @@ COST_DDL = "time timestamp, usage_kwh double, tariff_type string, cost_tl double
 # On the topic the time travels as ISO text.
 MESSAGE_DDL = PROCESSED_DDL.replace("time timestamp", "time string", 1)
 RAW_MESSAGE_DDL = RAW_DDL.replace("time timestamp", "time string", 1)
+# All that scoring reads of a message: the rest need not be decoded.
+SCORED_MESSAGE_DDL = "time string, usage_kwh double, load_type string, z_anomaly boolean"
 
 
 def column_names(ddl: str) -> list[str]:
