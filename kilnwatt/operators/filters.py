@@ -54,10 +54,14 @@ def iqr_fences(df: DataFrame, value: str = "usage_kwh", reach: float = 1.5, **li
     )
 
 
+def outside_fences(value: str = "usage_kwh") -> Column:
+    """True outside attached `iqr_fences`."""
+    return F.coalesce((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")), F.lit(False))
+
+
 def flag_iqr_outliers(df: DataFrame, value: str = "usage_kwh", into: str = "iqr_outlier", **limits: int) -> DataFrame:
     fences = iqr_fences(df, value, **limits).select("lower", "upper")
-    outside = (F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper"))
-    return df.crossJoin(F.broadcast(fences)).withColumn(into, F.coalesce(outside, F.lit(False))).drop("lower", "upper")
+    return df.crossJoin(F.broadcast(fences)).withColumn(into, outside_fences(value)).drop("lower", "upper")
 
 
 def iqr_outliers(df: DataFrame, value: str = "usage_kwh", **limits: int) -> DataFrame:

@@ -90,19 +90,22 @@ def over_series(
     time: str = "time",
     tiebreak: Sequence[str] = (),
     layout: Layout = DEFAULT_LAYOUT,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Add the window columns `build` describes.
 
-    They may read the `values` columns only, and look back at most `reach` rows.
+    They may read the `values` columns only, and look back at most `reach` rows. Where `df` is costly to compute,
+    `narrow` names a cheaper frame with the same times, tie-breakers and values for the counting and halo passes.
     """
-    rows = df.count()
+    narrow = df if narrow is None else narrow
+    rows = narrow.count()
     if rows <= layout.rows_per_task:
         keys = series_order(df, time, tiebreak, values)
         return df.withColumns(build(Frames(Window.orderBy(*keys))))
-    slots = count_slots(df, time, rows, reach, layout)
+    slots = count_slots(narrow, time, rows, reach, layout)
     if layout.too_hot(max(slots.counts.values()), rows):
         return by_position(df, build, reach, values, time, tiebreak, layout, rows)
-    return by_slot(df, build, reach, values, time, tiebreak, layout, rows, slots)
+    return by_slot(df, narrow, build, reach, values, time, tiebreak, layout, rows, slots)
 
 
 @dataclass(frozen=True)
@@ -157,6 +160,7 @@ def halo_sources(counts: Mapping[int, int], reach: int) -> Iterator[tuple[int, i
 
 def by_slot(
     df: DataFrame,
+    narrow: DataFrame,
     build: Build,
     reach: int,
     values: Sequence[str],
@@ -171,7 +175,7 @@ def by_slot(
     # slot and task before the exchange.
     latest_first = Window.partitionBy("_slot").orderBy(*[F.desc(c) for c in carried])
     tails = (
-        df.where(slots.closing)
+        narrow.where(slots.closing)
         .select(*carried, slots.of.alias("_slot"))
         .withColumn("_back", F.row_number().over(latest_first))
         .where(F.col("_back") <= reach)

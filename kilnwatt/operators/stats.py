@@ -106,11 +106,18 @@ def describe(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, digits: in
     return stacked.select("column", "count", *[round_exact(F.col(n), digits).alias(n) for n in names])
 
 
+def own_moments(df: DataFrame, value: str = USAGE) -> DataFrame:
+    return df.agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
+
+
+def own_z(value: str = USAGE) -> Column:
+    """z-score against attached `own_moments`; null when the deviation is zero."""
+    return F.try_divide(F.col(value) - F.col("_mean"), F.col("_std"))
+
+
 def data_z(df: DataFrame, value: str = USAGE, into: str = "z_score") -> DataFrame:
-    """z-score against the table's own mean and sample deviation; null when the deviation is zero."""
-    own = df.agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
-    scored = with_scalar(df, own).withColumn(into, F.try_divide(F.col(value) - F.col("_mean"), F.col("_std")))
-    return scored.drop("_mean", "_std")
+    """z-score against the table's own mean and sample deviation."""
+    return with_scalar(df, own_moments(df, value)).withColumn(into, own_z(value)).drop("_mean", "_std")
 
 
 def savings(costed: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from kilnwatt.functions import calendar as cal
 from kilnwatt.functions import measures as m
 from kilnwatt.operators import series as sr
-from kilnwatt.operators.filters import drop_incomplete, flag_iqr_outliers
-from kilnwatt.operators.stats import data_z
+from kilnwatt.operators.filters import drop_incomplete, iqr_fences, outside_fences
+from kilnwatt.operators.joins import with_scalar
+from kilnwatt.operators.stats import own_moments, own_z
 from kilnwatt.schemas import FEATURE_Z, PROCESSED_COLUMNS, ROWS_1H, ROWS_4H, ROWS_24H, ZParams
 
 USAGE = "usage_kwh"
@@ -57,6 +58,7 @@ def add_rolling(
     fill: str | None = None,
     day_frame: bool = False,
     layout: sr.Layout = sr.DEFAULT_LAYOUT,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling means and changes over the whole series; all frames share one exchange and one sort.
 
@@ -66,12 +68,18 @@ def add_rolling(
         raise ValueError(f"fill must be None or 'pad', not {fill!r}")
     change_of = USAGE
     if fill == "pad":
-        change_of = "padded_usage"
+        change_of, narrow = "padded_usage", None
         df = sr.pad_forward(df, USAGE, change_of, tiebreak=tiebreak, layout=layout)
     reach = (ROWS_24H if day_frame else ROWS_4H) - 1
     values = list(dict.fromkeys([USAGE, change_of]))
     rolled = sr.over_series(
-        df, lambda frames: rolling_columns(frames, day_frame, change_of), reach, values, tiebreak=tiebreak, layout=layout
+        df,
+        lambda frames: rolling_columns(frames, day_frame, change_of),
+        reach,
+        values,
+        tiebreak=tiebreak,
+        layout=layout,
+        narrow=narrow,
     )
     return rolled.drop("padded_usage")
 
@@ -100,7 +108,9 @@ def analysis_features(
     """The exploratory set: day of year, day-long mean, daily running sum, data-driven z and quartile flags."""
     clean = m.nan_to_null(readings)
     running = sr.running_sum_by_date(clean, tiebreak=tiebreak, layout=layout)
-    wide = add_rolling(running, tiebreak, day_frame=True, layout=layout)
+    wide = add_rolling(running, tiebreak, day_frame=True, layout=layout, narrow=clean)
     wide = wide.withColumn("day_of_year", F.dayofyear("time")).transform(add_calendar).transform(add_power_factor)
-    wide = flag_iqr_outliers(data_z(wide), **limits).withColumn("z_anomaly", m.two_sided(F.col("z_score")))
-    return add_costs(wide)
+    # The table's own statistics come from the plain readings, so the windows aren't run for them.
+    wide = with_scalar(wide, own_moments(clean).crossJoin(iqr_fences(clean, **limits).select("lower", "upper")))
+    wide = wide.withColumn("z_score", own_z()).withColumn("iqr_outlier", outside_fences())
+    return add_costs(wide.withColumn("z_anomaly", m.two_sided(F.col("z_score"))).drop("_mean", "_std", "lower", "upper"))
