@@ -74,9 +74,9 @@ def fan_out(anomaly_path: str, cost_path: str, metrics_path: str) -> Batch:
         try:
             if kept.isEmpty():
                 return
-            stamp = kept.sparkSession.range(1).select(F.current_timestamp()).first()[0]
             anomalies, costs = route_anomalies(kept), route_costs(kept)
-            replace_batch(anomalies.withColumn("detected_at", F.lit(stamp)), anomaly_path, batch_id)
+            # The current time is one literal per write, so a batch has one detection time.
+            replace_batch(anomalies.withColumn("detected_at", F.current_timestamp()), anomaly_path, batch_id)
             replace_batch(costs, cost_path, batch_id)
             flagged = F.col("z_anomaly").eqNullSafe(True) & F.col("time").isNotNull()
             costed = F.col("time").isNotNull() & F.col("cost_tl").isNotNull()
@@ -130,10 +130,10 @@ def extend_features(folder: str, reach: int = ROWS_4H - 1, layout: Layout = DEFA
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tail = spark.read.schema(RAW_DDL).parquet(f"{folder}/tail/batch_id={batch_id - 1}")
-        cursor = tail.agg(F.max("time")).first()[0]
+        cursor = tail.agg(F.max(F.unix_micros("time"))).first()[0]  # a number, free of any time zone
         arrived = batch.select(*RAW_COLUMNS).where(F.col("time").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            on_time = F.lit(True) if cursor is None else F.col("time") > F.lit(cursor)
+            on_time = F.lit(True) if cursor is None else F.unix_micros("time") > F.lit(cursor)
             series = tail.unionByName(arrived.where(on_time))
             features = processed_readings(series, layout=layout, keep_incomplete=True).where(on_time)
             replace_batch(drop_incomplete(features), f"{folder}/processed_readings", batch_id)
