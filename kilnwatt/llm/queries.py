@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from kilnwatt.llm import chat, packing, sharding
+from kilnwatt.llm import chat, decontaminate, licenses, packing, quality, sharding
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_license_scan": licenses.op2_license_scan,
     "op6_pack": packing.op6_pack,
     "op8_chat_format": chat.op8_chat_format,
+    "op9_quality": quality.op9_quality,
     "op10_kd_shards": sharding.op10_kd_shards,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
+    "op2_license_scan": licenses.OP2_SQL,
+}
