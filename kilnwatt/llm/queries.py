@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from kilnwatt.llm import chat, decontaminate, licenses, packing, quality, sharding, substrings
+from kilnwatt.llm import chat, decontaminate, licenses, packing, quality, sharding, substrings, suffixes
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_license_scan": licenses.op2_license_scan,
     "op3_substring_dedup": substrings.op3_substring_dedup,
+    "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_pack": packing.op6_pack,
     "op8_chat_format": chat.op8_chat_format,
     "op9_quality": quality.op9_quality,
