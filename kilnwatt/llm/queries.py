@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kilnwatt.llm import chat, decontaminate, licenses, packing, quality, sharding, substrings, suffixes
+from kilnwatt.llm import chat, decontaminate, jaccard, licenses, packing, quality, sharding, substrings, suffixes
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_substring_dedup": substrings.op3_substring_dedup,
     "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_pack": packing.op6_pack,
+    "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_chat_format": chat.op8_chat_format,
     "op9_quality": quality.op9_quality,
     "op10_kd_shards": sharding.op10_kd_shards,
