@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from kilnwatt.llm import chat, decontaminate, jaccard, licenses, packing, quality, sharding, substrings, suffixes
+from kilnwatt.llm import chat, decontaminate, jaccard, licenses, neighbours, packing, quality, sharding, substrings, suffixes
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_license_scan": licenses.op2_license_scan,
     "op3_substring_dedup": substrings.op3_substring_dedup,
+    "op4_nearest": neighbours.op4_nearest,
     "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_pack": packing.op6_pack,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
