@@ -58,6 +58,10 @@ def grams(df: DataFrame, length: int, name: str) -> DataFrame:
     return _sliding(hashed, "_h", name, length, lambda a, b: F.xxhash64(a, b)).drop("_h")
 
 
+# Arrays that are costly to make are opened with the outer generators: for the plain ones the optimizer filters empty
+# arrays first, and the filter would evaluate every step of the array again, twice as often with each step.
+
+
 def winnowed(df: DataFrame, gram: int, window: int) -> DataFrame:
     """Add `prints`: distinct least hashes over every `window` successive `gram`-word sequences."""
     least = _sliding(grams(df, gram, "_g"), "_g", "_m", window, lambda a, b: F.least(a, b))
@@ -76,13 +80,13 @@ def _candidates(docs: DataFrame, items: DataFrame, span: int, gram: int) -> Data
     sequences of that length are compared.
     """
     whole = items.filter(F.size("words") >= span)
-    item_prints = [winnowed(whole, gram, span - gram + 1).select(F.lit(gram).alias("gram_words"), F.explode("prints").alias("print"))]
-    doc_prints = [winnowed(docs, gram, span - gram + 1).select("row_key", F.lit(gram).alias("gram_words"), F.explode("prints").alias("print"))]
+    item_prints = [winnowed(whole, gram, span - gram + 1).select(F.lit(gram).alias("gram_words"), F.explode_outer("prints").alias("print"))]
+    doc_prints = [winnowed(docs, gram, span - gram + 1).select("row_key", F.lit(gram).alias("gram_words"), F.explode_outer("prints").alias("print"))]
     lengths = sorted(r[0] for r in items.select(F.size("words")).distinct().filter(F.size("words").between(1, span - 1)).collect())
     for n in lengths:
         short = grams(items.filter(F.size("words") == n), n, "_g")
         item_prints.append(short.select(F.lit(n).alias("gram_words"), F.element_at("_g", 1).alias("print")))
-        doc_prints.append(grams(docs.filter(F.size("words") >= n), n, "_g").select("row_key", F.lit(n).alias("gram_words"), F.explode(F.array_distinct("_g")).alias("print")))
+        doc_prints.append(grams(docs.filter(F.size("words") >= n), n, "_g").select("row_key", F.lit(n).alias("gram_words"), F.explode_outer(F.array_distinct("_g")).alias("print")))
     wanted, found = item_prints[0], doc_prints[0]
     for more_items, more_docs in zip(item_prints[1:], doc_prints[1:], strict=True):
         wanted, found = wanted.unionByName(more_items), found.unionByName(more_docs)
@@ -109,14 +113,14 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     meets = None
     for n in lengths:
         mine = grams(spread.filter(F.size("words") >= span if n == gram else F.size("words") == n), n, "_g")
-        mine = mine.select("item", F.posexplode("_g").alias("q", "print"))
-        theirs = grams(suspects, n, "_g").select("row_key", F.posexplode("_g").alias("p", "print"))
+        mine = mine.select("item", F.posexplode_outer("_g").alias("q", "print"))
+        theirs = grams(suspects, n, "_g").select("row_key", F.posexplode_outer("_g").alias("p", "print"))
         own = theirs.join(mine, "print").select("row_key", "item", (F.col("p") - F.col("q")).alias("shift"))
         meets = own if meets is None else meets.unionByName(own)
     meets = meets.distinct()
 
-    item_words = spread.select("item", F.size("words").alias("item_size"), F.posexplode("words").alias("q", "word"))
-    doc_words = suspects.select("row_key", F.posexplode("words").alias("p", "word"))
+    item_words = spread.select("item", F.size("words").alias("item_size"), F.posexplode_outer("words").alias("q", "word"))
+    doc_words = suspects.select("row_key", F.posexplode_outer("words").alias("p", "word"))
     aligned = meets.join(item_words, "item").withColumn("p", F.col("shift") + F.col("q"))
     equal = aligned.join(doc_words, ["row_key", "p", "word"]).select("row_key", "item", "shift", "p", "item_size")
     line = Window.partitionBy("row_key", "item", "shift")
