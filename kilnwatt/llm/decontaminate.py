@@ -148,8 +148,8 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, without any hit word."""
     bad = phase(contamination(docs, items).filter(F.col("n_hit") > 0).select("row_key").distinct(), "decontaminate-bad")
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    return keyed.join(_small(bad.withColumnRenamed("row_key", "_bad")), F.col("_key") == F.col("_bad"), "left_anti").drop("_key")
+    keyed = docs.select(F.struct(*map(F.col, docs.columns)).alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
+    return keyed.join(_small(bad), "row_key", "left_anti").select("row.*")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kilnwatt.llm.anchors import PART, Rolling, Tokens, U, _encoded, _mixed, order_id
-from kilnwatt.llm.common import phase, table
+from kilnwatt.llm.common import phase, row_key, table
 from kilnwatt.llm.decontaminate import _small
 from kilnwatt.llm.graph import components
 
@@ -133,10 +133,11 @@ def _meta(docs: DataFrame) -> DataFrame:
             for row, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens):
                 n[row] = np.diff(begin, append=len(grams))
                 one[row], two[row] = digests(begin, grams)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("id"), pa.array(n), pa.array(one), pa.array(two)], names=["doc_id", "id", "n_shingles", "set_key", "set_key2"])
+            names = [batch.column(c) for c in ("doc_id", "row_key", "id")]
+            yield pa.record_batch([*names, pa.array(n), pa.array(one), pa.array(two)], names=["doc_id", "row_key", "id", "n_shingles", "set_key", "set_key2"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"), "text")
-    return phase(rows.mapInArrow(read, "doc_id long, id long, n_shingles long, set_key long, set_key2 long"), "jaccard-meta")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), order_id().alias("id"), "text")
+    return phase(rows.mapInArrow(read, "doc_id long, row_key long, id long, n_shingles long, set_key long, set_key2 long"), "jaccard-meta")
 
 
 def _regions(docs: DataFrame, most: int) -> DataFrame:
@@ -292,7 +293,7 @@ def _links(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of `docs`.
+    """(doc_id, n_shingles, component_id, row_key), one row per row of `docs`.
 
     Component ids are the least doc_id that links reach. Null and empty texts, and texts of white space, have no
     shingles and link with nothing. A null id counts as the greatest; where only such are reached, the component is null.
@@ -312,8 +313,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = phase(sets.withColumn("root", F.coalesce("root", "set_key")), "jaccard-sets")
     least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = sets.join(least, "root").select(F.col("set_key").alias("_one"), F.col("set_key2").alias("_two"), F.nullif(F.col("component_id"), F.lit(2**63 - 1)).alias("component_id"))
-    joined = filled.join(classes, (F.col("set_key") == F.col("_one")) & (F.col("set_key2") == F.col("_two"))).select("doc_id", "n_shingles", "component_id")
-    return joined.unionByName(meta.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    joined = filled.join(classes, (F.col("set_key") == F.col("_one")) & (F.col("set_key2") == F.col("_two"))).select("doc_id", "n_shingles", "component_id", "row_key")
+    return joined.unionByName(meta.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row_key"))
 
 
 def _bipartite(regions: DataFrame) -> DataFrame:
@@ -323,4 +324,4 @@ def _bipartite(regions: DataFrame) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
