@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +34,10 @@ def phase(df: DataFrame, label: str) -> DataFrame:
     out = materialise(df, label)
     spark = df.sparkSession
     del df
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # listeners let go of the finished plan a moment later
+        time.sleep(0.1)
+        gc.collect()
+        spark._jvm.System.gc()
     return out
 
 
