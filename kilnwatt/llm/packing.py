@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,14 +25,14 @@ from kilnwatt.llm.common import numbered, phase, salts_for, table, texts
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids a task remembers; the memory is emptied when full.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 PIECES = "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 class WordIds:
-    """Ids of whole texts from the tokenizer's ids of their words.
+    """Ids of whole texts, as 32-bit little-endian machines store them, from the tokenizer's ids of their words.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are those of its words in a row.
     Only words not seen before are tokenised, in batches.
@@ -43,27 +44,37 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._special = re.compile("|".join(re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
+        self._stops = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n]|$)")
         self._known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
         if len(self._known) + len(words) > REMEMBERED:
             self._known.clear()
+        # What the tokenizer does before its model is the identity on words of a-z.
+        plain = self._tokenizer.model.tokenize
+        for w in words:
+            if w.isalpha():
+                self._known[w] = array("I", [t.id for t in plain(w.decode())]).tobytes()
+        words = [w for w in words if not w.isalpha()]
         for at in range(0, len(words), 4096):
             part = words[at : at + 4096]
             made = self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self._known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, made, strict=True))
+            self._known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, made, strict=True))
 
     def of(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids. Texts are cut at ASCII white space only, which every word boundary respects."""
+        """Little-endian unsigned 32-bit ids.
+
+        Texts are cut at ASCII white space, which every word boundary respects, and before stops that end a word, which
+        the tokenizer separates from letters and digits too. It reads A-Z as a-z, so this is done once for the text.
+        """
         known, out = self._known, []
-        words = text.encode().split()
+        words = self._stops.sub(rb" \1", text.encode().lower()).split()
         for at in range(0, len(words), REMEMBERED // 4):
             part = words[at : at + REMEMBERED // 4]
-            if missing := [w for w in dict.fromkeys(part) if w not in known]:
-                self._learn(missing)
-                if not all(w in known for w in part):
-                    self._learn([w for w in dict.fromkeys(part) if w not in known])
+            if missing := set(part).difference(known):
+                self._learn(list(missing))
+                if missing := set(part).difference(known):
+                    self._learn(list(missing))
             out.append(b"".join([known[w] for w in part]))
         return b"".join(out)
 
