@@ -1,8 +1,7 @@
 """Row-frame windows over one long time-ordered series, without one task holding the series.
 
-A window ordered by time but partitioned by nothing runs in a single task. Three ways give the same result:
+A window ordered by time but partitioned by nothing runs in a single task. Two ways give the same result:
 
-* one task, when the counted series is small enough for one;
 * time slots: the time range is cut into equal slots, each a window partition, and each slot also receives the
   last rows before it (its halo) so that every trailing frame is complete. The halo comes from a scan of the few
   columns the frames read, so the wide rows are exchanged once and nothing is stored;
@@ -30,7 +29,8 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above, th
 class Layout:
     """How finely a series is cut.
 
-    rows_per_task: intended size of a slot or range partition, and the largest series that runs as one window.
+    rows_per_task: intended size of a slot or range partition.
+    least_tasks: cuts of the smallest series, so that it takes the same way as a long one.
     max_tasks: bounds the number of slots or range partitions, hence the per-slot counts kept on the driver and
     the bookkeeping rows that are broadcast.
     hot_factor: a slot this many times larger than intended sends the series to the path by positions.
@@ -38,12 +38,13 @@ class Layout:
     """
 
     rows_per_task: int = 250_000
+    least_tasks: int = 8
     max_tasks: int = 200_000
     hot_factor: int = 4
     chunk_rows: int = 4096
 
     def tasks_for(self, rows: int) -> int:
-        return max(1, min(self.max_tasks, math.ceil(rows / self.rows_per_task)))
+        return max(self.least_tasks, min(self.max_tasks, math.ceil(rows / self.rows_per_task)))
 
     def too_hot(self, largest: int, rows: int) -> bool:
         return largest > self.hot_factor * max(self.rows_per_task, rows / self.tasks_for(rows))
@@ -98,12 +99,9 @@ def over_series(
     `narrow` names a cheaper frame with the same times, tie-breakers and values for the counting and halo passes.
     """
     narrow = df if narrow is None else narrow
-    rows = narrow.count()
-    if rows <= layout.rows_per_task:
-        keys = series_order(df, time, tiebreak, values)
-        return df.withColumns(build(Frames(Window.orderBy(*keys))))
-    slots = count_slots(narrow, time, rows, reach, layout)
-    if layout.too_hot(max(slots.counts.values()), rows):
+    slots = count_slots(narrow, time, reach, layout)
+    rows = sum(slots.counts.values())
+    if layout.too_hot(max(slots.counts.values(), default=0), rows):
         return by_position(df, build, reach, values, time, tiebreak, layout, rows)
     return by_slot(df, narrow, build, reach, values, time, tiebreak, layout, rows, slots)
 
@@ -117,32 +115,34 @@ class Slots:
     counts: Mapping[int, int]
     ends: Mapping[int, int]
 
-    def enough(self, reach: int) -> bool:
-        return all(self.ends[slot] >= min(reach, n) for slot, n in self.counts.items())
+    def thin(self, reach: int) -> list[int]:
+        """Slots whose closing part holds too few rows for a halo, as at the edge of an outage."""
+        return [slot for slot, n in self.counts.items() if self.ends[slot] < min(reach, n)]
 
+    def closing_rows(self, df: DataFrame, reach: int) -> DataFrame:
+        """Rows of the closing parts, and whole slots that are thin, with their `_slot`."""
+        whole = df.sparkSession.createDataFrame([(slot,) for slot in self.thin(reach)], "_thin int")  # at most `max_tasks`
+        placed = df.withColumn("_slot", self.of).withColumn("_closing", self.closing)
+        return placed.join(F.broadcast(whole), F.col("_slot") == F.col("_thin"), "left").where(F.col("_closing") | F.col("_thin").isNotNull())
 
-def count_slots(df: DataFrame, time: str, rows: int, reach: int, layout: Layout) -> Slots:
-    """Cut the series into slots whose closing parts hold at least `reach` rows, or all the slot has.
 
-    At most `max_tasks` + 1 counts reach the driver. A null time precedes all others. The closing part starts
-    at several times the share of a slot that `reach` rows need on average, and grows until it suffices.
+def count_slots(df: DataFrame, time: str, reach: int, layout: Layout) -> Slots:
+    """Cut the series into slots and count them, in one pass for the range and one for the slots.
+
+    At most `max_tasks` + 1 counts reach the driver. A null time precedes all others. The closing part is several times
+    the share of a slot that `reach` rows need on average.
     """
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    first, last = df.agg(F.min(micros), F.max(micros)).first()
+    rows, first, last = df.agg(F.count(F.lit(1)), F.min(micros), F.max(micros)).first()
     first, last = first or 0, last or 0
     tasks = layout.tasks_for(rows)
     width = max(1, math.ceil((last - first + 1) / tasks))
     offset = (micros - F.lit(first)) / F.lit(width)
     slot = F.coalesce(F.floor(offset), F.lit(-1)).cast("int")
-    share = 8 * reach * tasks / rows
-    while True:
-        closing = F.coalesce(offset - F.floor(offset) >= 1 - share, F.lit(True)) if share < 1 else F.lit(True)
-        counted = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.count_if(closing).alias("end"))
-        found = counted.collect()
-        slots = Slots(slot, closing, {r["slot"]: r["n"] for r in found}, {r["slot"]: r["end"] for r in found})
-        if slots.enough(reach) or share >= 1:
-            return slots
-        share *= 8
+    share = 8 * reach * tasks / max(1, rows)
+    closing = F.coalesce(offset - F.floor(offset) >= 1 - share, F.lit(True)) if share < 1 else F.lit(True)
+    found = df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.count_if(closing).alias("end")).collect()
+    return Slots(slot, closing, {r["slot"]: r["n"] for r in found}, {r["slot"]: r["end"] for r in found})
 
 
 def halo_sources(counts: Mapping[int, int], reach: int) -> Iterator[tuple[int, int, int]]:
@@ -175,8 +175,8 @@ def by_slot(
     # slot and task before the exchange.
     latest_first = Window.partitionBy("_slot").orderBy(*[F.desc(c) for c in carried])
     tails = (
-        narrow.where(slots.closing)
-        .select(*carried, slots.of.alias("_slot"))
+        slots.closing_rows(narrow, reach)
+        .select(*carried, "_slot")
         .withColumn("_back", F.row_number().over(latest_first))
         .where(F.col("_back") <= reach)
     )
@@ -204,14 +204,15 @@ def index_series(
 ) -> DataFrame:
     """Range partition, sort, and fix `_task` (range partition) and `_pos` (position inside it) in a written table.
 
-    The table is written because a range partitioning is sampled anew each time it is planned. A tie that falls
-    on a range boundary is cut by the row's place in the input: name tie-breaker columns where that must not
-    depend on the file layout. Rows that are equal in everything may swap freely.
+    The table is written because a range partitioning is sampled anew each time it is planned. Ranges are cut by the
+    whole order of the series, so a tie is cut as a plain window would order it; only rows that are equal in every key
+    are cut by their place in the input, and those may swap freely.
     """
     rows = df.count() if rows is None else rows
     spread = df.withColumn("_spread", F.monotonically_increasing_id())
-    ranged = spread.repartitionByRange(layout.tasks_for(rows), time, *tiebreak, "_spread").drop("_spread")
-    placed = ranged.sortWithinPartitions(*series_order(df, time, tiebreak, values)).withColumn(
+    order = series_order(df, time, tiebreak, values)
+    ranged = spread.repartitionByRange(layout.tasks_for(rows), *order, "_spread").drop("_spread")
+    placed = ranged.sortWithinPartitions(*order).withColumn(
         "_at", F.monotonically_increasing_id()
     )
     at = F.col("_at")

@@ -51,9 +51,61 @@ def test_crowded_time_goes_by_position(spark):
     layout = sr.Layout(rows_per_task=50)
     crowded, even = numbers(spark, 900, crowd=0.4), numbers(spark, 900)
     for df, hot in ((crowded, True), (even, False)):
-        slots = sr.count_slots(df, "time", 900, 15, layout)
+        slots = sr.count_slots(df, "time", 15, layout)
+        assert sum(slots.counts.values()) == 900
         assert layout.too_hot(max(slots.counts.values()), 900) is hot
-        assert slots.enough(15)
+
+
+def tied(spark, files):
+    """40 % of 2,000 readings share one time; the same rows in two file orders."""
+    rng = random.Random(9)
+    rows = [(1_700_000_000 + (1000 if rng.random() < 0.4 else i) * 900, round(rng.uniform(0, 150), 1), rng.choice("abc")) for i in range(2000)]
+    random.Random(files).shuffle(rows)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 5), "at bigint, usage_kwh double, load_type string")
+    return df.select(F.timestamp_seconds("at").alias("time"), "usage_kwh", "load_type")
+
+
+def test_ties_do_not_depend_on_cut_or_file_order(spark):
+    """Without a tie-breaker, slots, positions and the plain window give the same rows, in either file order."""
+    layouts = [sr.Layout(rows_per_task=100, hot_factor=10_000), sr.Layout(rows_per_task=100, hot_factor=0), PLAIN]
+    found = []
+    for files in (1, 2):
+        df = tied(spark, files)
+        order = sr.series_order(df, "time", (), ["usage_kwh"])
+        plain = df.withColumns({"usage_diff": F.col("usage_kwh") - F.lag("usage_kwh").over(Window.orderBy(*order))})
+        found.append(sorted(map(str, plain.select("time", "usage_kwh", "load_type", "usage_diff").collect())))
+        for layout in layouts:
+            found.append(sorted(map(str, ft.add_rolling(df, layout=layout).select("time", "usage_kwh", "load_type", "usage_diff").collect())))
+    assert all(f == found[0] for f in found)
+
+
+def test_running_sum_and_padding_with_ties(spark):
+    small = sr.Layout(rows_per_task=100, hot_factor=0)
+    sums, pads = [], []
+    for files in (1, 2):
+        df = tied(spark, files)
+        for layout in (small, PLAIN):
+            summed = sr.running_sum_by_date(df, layout=layout).select("time", "usage_kwh", "load_type", F.round("cumulative_daily", 4))
+            sums.append(sorted(map(str, summed.collect())))
+            gaps = df.withColumn("usage_kwh", F.when(F.col("load_type") != "a", F.col("usage_kwh")))
+            pads.append(sorted(map(str, sr.pad_forward(gaps, "usage_kwh", "filled", layout=layout).collect())))
+    assert all(s == sums[0] for s in sums) and all(p == pads[0] for p in pads)
+
+
+def test_outage_leaves_the_closing_parts_small(spark):
+    """A gap makes thin slots; those are taken whole, the others keep their share."""
+    at = F.col("id") * 60 + F.when(F.col("id") > 10_300, 3_000_000).otherwise(0)
+    df = spark.range(0, 20_000).select(F.timestamp_seconds(at + 1_700_000_000).alias("time"), F.col("id").cast("double").alias("usage_kwh"))
+    layout = sr.Layout(rows_per_task=1000, hot_factor=10_000)
+    slots = sr.count_slots(df, "time", 15, layout)
+    assert slots.closing_rows(df, 15).count() < 0.25 * 20_000
+    got = sr.over_series(df, lambda w: {"m": sr.trailing_mean("usage_kwh", 16, w)}, 15, ["usage_kwh"], layout=layout)
+    assert got.where(F.col("m") != F.col("usage_kwh") - 7.5).count() == 0 and got.where("m is null").count() == 15
+
+
+def test_no_single_partition_window(raw):
+    plan = ft.add_rolling(raw(("2024-01-01 00:00:00", 1.0)))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 def test_copies_spread_over_partitions(spark):
