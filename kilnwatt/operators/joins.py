@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilnwatt.operators.filters import as_timestamp
@@ -21,12 +21,12 @@ def publish_cursor(as_of, back: str = "1 hour"):
 
 
 def not_in(df: DataFrame, seen: DataFrame, key: str = "time") -> DataFrame:
-    """Rows whose key is absent from `seen`.
+    """Rows whose key is absent from `seen`; a null key is never present there.
 
-    The seen side is reduced to distinct keys before the exchange, so a key with many rows meets one partner
-    and the adaptive skew join can split its left side freely.
+    Both sides are exchanged for the join alone, so that the adaptive skew join can split a key with many rows.
+    Reducing `seen` to distinct keys first would put an aggregate in between, and the rule would not apply.
     """
-    return df.join(seen.select(key).distinct(), key, "left_anti").select(*df.columns)
+    return df.join(seen.select(key), key, "left_anti").select(*df.columns)
 
 
 def unprocessed(raw: DataFrame, processed: DataFrame, cursor, limit: int | None = 500, time: str = "time") -> DataFrame:
@@ -42,31 +42,38 @@ def unprocessed(raw: DataFrame, processed: DataFrame, cursor, limit: int | None
 def next_page(df: DataFrame, cursor, limit: int = 100, time: str = "time", tiebreak: str | None = None, after=None) -> DataFrame:
     """Rows following the cursor in time order.
 
-    With a tie-breaker column and its last value the page continues inside a group of equal times, which a
-    cursor on time alone would skip.
+    A page continues inside a group of equal times, which a cursor on time alone would skip: `after` is the last row's
+    value of the tie-breaker, a column or, without one, `row_mark`. Rows equal in every column count as one then.
     """
     edge = as_timestamp(cursor)
+    order = row_mark(df) if tiebreak is None else F.col(tiebreak)
     later = F.col(time) > edge
-    if tiebreak is None:
-        return df.where(later).orderBy(time).limit(limit)
     if after is not None:
-        later = later | ((F.col(time) == edge) & (F.col(tiebreak) > F.lit(after)))
-    return df.where(later).orderBy(time, tiebreak).limit(limit)
+        later = later | ((F.col(time) == edge) & (order > F.lit(after)))
+    return df.where(later).orderBy(F.col(time), order).limit(limit)
+
+
+def row_mark(df: DataFrame) -> Column:
+    """The tie-breaker of pages without a named one: a hash of the whole row."""
+    return F.xxhash64(*df.columns)
 
 
 def one_per_key(df: DataFrame, key: str = "time") -> DataFrame:
     """One row per key, the smallest in column order, so that reruns pick the same one.
 
-    Grouping combines copies before the exchange; a key with a third of the rows arrives as one row per task.
+    Before the exchange each task keeps one row per key, so a key with a third of the rows arrives as one row per task.
     """
-    rest = [c for c in df.columns if c != key]
-    kept = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
-    return kept.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    rest = [F.col(c) for c in df.columns if c != key] or [F.lit(1)]
+    first = Window.partitionBy(key).orderBy(*rest)
+    return df.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") == 1).drop("_nth")
 
 
 def insert_ignore(incoming: DataFrame, target: DataFrame, key: str = "time") -> DataFrame:
-    """Rows an insert that ignores conflicts on the key would add."""
-    return not_in(one_per_key(incoming, key), target, key)
+    """Rows an insert that ignores conflicts on the key would add.
+
+    The key may not be null in the target, so rows without one are left out. What is already there is dropped first.
+    """
+    return one_per_key(not_in(incoming.where(F.col(key).isNotNull()), target, key), key)
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -45,13 +45,14 @@ def write_processed(df: DataFrame, path: str, mode: str = "append") -> int:
 
 
 def append_new(df: DataFrame, path: str, ddl: str, key: str = "time") -> int:
-    """Append only rows whose key the table lacks; running it again adds nothing.
+    """Append only rows whose key the table lacks; running it again adds nothing. Rows with a null key are left out.
 
-    Of the target only the dates the incoming rows span are read.
+    Of the target only the dates that occur among the incoming rows are read: at most one value for each day of the
+    calendar, however many rows there are.
     """
     spark = df.sparkSession
-    span = df.agg(F.to_date(F.min(key)).alias("first"), F.to_date(F.max(key)).alias("last")).first()
-    target = read_by_date(spark, path, ddl).where(F.col("date").between(F.lit(span["first"]), F.lit(span["last"])))
+    days = [r[0] for r in df.select(F.to_date(key)).where(F.col(key).isNotNull()).distinct().collect()]
+    target = read_by_date(spark, path, ddl).where(F.col("date").isin(days))
     return write_by_date(insert_ignore(df, target, key), path, "append", key)
 
 

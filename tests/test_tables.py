@@ -38,6 +38,54 @@ def test_keyset_inside_ties(spark):
     assert column(page, "id") == [2, 3]
 
 
+def test_pages_without_tiebreak_lose_nothing(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, (id div 7) * 60) AS time, id FROM range(30)").cache()
+    cursor, mark, seen = "2023-12-31", None, []
+    while page := joins.next_page(df.withColumn("mark", joins.row_mark(df)), cursor, 4, tiebreak="mark", after=mark).collect():
+        seen += [r.id for r in page]
+        cursor, mark = str(page[-1].time), page[-1].mark
+    assert sorted(seen) == list(range(30))
+    first = joins.next_page(df, "2023-12-31", 4).collect()
+    after = df.where(F.col("id") == first[-1].id).select(joins.row_mark(df)).first()[0]
+    rest = joins.next_page(df, str(first[-1].time), 100, after=after).collect()
+    assert sorted(r.id for r in [*first, *rest]) == list(range(30))
+
+
+def test_replays_with_null_times_add_nothing(spark, raw, tmp_path):
+    path = str(tmp_path / "keyed")
+    tables.create_table(spark, path, f"{RAW_DDL}, date date")
+    batch = raw((None, 1.0), (None, 2.0), (None, 2.0), (T[0], 3.0))
+    assert [tables.append_new(batch, path, RAW_DDL) for _ in range(3)] == [1, 0, 0]
+    assert tables.read_by_date(spark, path, RAW_DDL).count() == 1
+
+
+def test_append_reads_only_the_dates_at_hand(spark, raw, tmp_path):
+    path = str(tmp_path / "days")
+    tables.write_by_date(raw(*[(f"2024-01-0{d} 12:00:00", float(d)) for d in range(1, 9)]), path)
+    assert tables.append_new(raw(("2024-01-01 12:00:00", 1.0), ("2024-01-08 13:00:00", 1.0)), path, RAW_DDL) == 1
+
+
+def test_hot_key_is_split_in_the_anti_join(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for name, value in zip(names, ("-1", "-1", "20k", "10k"), strict=True):
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 5 < 3, 7).otherwise(F.col("id")).alias("time"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        out = joins.not_in(rows, spark.range(0, 30_000, 1, 4).select((F.col("id") * 2).alias("time")))
+        assert out.count()
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_publish_cursor(spark):
+    assert str(spark.range(1).select(joins.publish_cursor("2024-01-01 10:00:00").alias("c")).first()["c"]) == "2024-01-01 09:00:00"
+
+
 def test_insert_ignore_is_deterministic(raw):
     target, new = raw((T[0], 1.0)), raw((T[0], 9.0), (T[1], 5.0), (T[1], 3.0))
     added = joins.insert_ignore(new, target).collect()
@@ -101,7 +149,8 @@ def test_bad_messages(spark):
 
 
 def test_nan_becomes_null(spark):
-    assert nan_to_null(spark.sql("SELECT double('NaN') AS v, 1 AS n")).first()["v"] is None
+    odd = nan_to_null(spark.sql("SELECT double('NaN') AS v, double('Infinity') AS w, float('-Infinity') AS x, 1 AS n")).first()
+    assert (odd["v"], odd["w"], odd["x"], odd["n"]) == (None, None, None, 1)
 
 
 def test_checks(spark, raw):
