@@ -17,9 +17,16 @@ from kilnwatt.schemas import (
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """Replace NaN by null in every floating column, since Spark ranks NaN above all numbers."""
+    """Replace NaN and infinities by null in every floating column.
+
+    Spark ranks NaN above all numbers, and one infinite reading would take every mean and histogram with it.
+    """
     floating = [name for name, kind in df.dtypes if kind in ("double", "float")]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
+    return df.withColumns({c: F.when(finite(F.col(c)), F.col(c)) for c in floating})
+
+
+def finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 
 
 def flag(condition: Column) -> Column:

@@ -1,8 +1,9 @@
 """Exact interpolated quantiles whose state does not grow with the data.
 
-Spark's exact `percentile` merges every distinct value of a column in one task. That is used only for columns
-with few distinct values, such as meter readings of limited precision. For the others bounded sketches propose values, full counts place each proposal at its exact rank, and the search
-interval shrinks strictly around the wanted rank until a proposal hits it or few enough values remain to sort.
+Equal values are counted first, which combines them before the exchange. The counted values are then narrowed around
+each wanted rank: every pass counts at most `BINS` equal bins of each open interval, keeps the bin that holds the rank,
+and shrinks the interval to the least and greatest value found in it. All ranks of all columns share the passes. What a
+task receives is one row per bin and task, and what the driver receives is at most `BINS` rows per rank, at any size.
 """
 
 from __future__ import annotations
@@ -11,138 +12,73 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_VALUES = 250_000  # most distinct values (estimated within some percent) handed to `percentile`
-SORT_ROWS = 20_000  # largest counted remainder sorted inside one aggregate
-SKETCH_ACCURACY = 10_000
+from kilnwatt.functions.measures import finite
+from kilnwatt.session import materialise
+
+BINS = 1024
 
 
 @dataclass
 class _Search:
-    """The value at 0-based `rank` of a column lies strictly between `low` and `high`; `below` values are <= low."""
+    """The value at 0-based `rank` of a column lies from `low` to `high`; `below` values are smaller than `low`."""
 
-    column: str
+    column: int
     rank: int
-    below: int
-    remaining: int
-    low: float | None = None
-    high: float | None = None
-    found: float | None = None
-    upto: int = 0  # rows at or below the found value
-
-    def interval(self) -> tuple[str, float | None, float | None]:
-        return self.column, self.low, self.high
-
-    def inside(self) -> Column:
-        value = F.col(self.column)
-        keep = value.isNotNull()
-        if self.low is not None:
-            keep = keep & (value > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (value < F.lit(self.high))
-        return F.when(keep, value)
-
-    def shares(self, accuracy: int) -> list[float]:
-        """Relative ranks just before and just after the wanted one, apart by the error of a sketch."""
-        share, margin = (self.rank - self.below + 0.5) / self.remaining, 2.0 / accuracy
-        return [max(0.0, share - margin), min(1.0, share + margin)]
-
-    def narrow(self, ranked: dict[float, tuple[int, int]]) -> None:
-        """Use proposals with their counts of smaller and of smaller-or-equal values."""
-        upper_start = self.below + self.remaining
-        for value, (smaller, upto) in sorted(ranked.items()):
-            if smaller <= self.rank < upto:
-                self.found, self.upto = value, upto
-                return
-            if upto <= self.rank and (self.low is None or value > self.low):
-                self.low, self.below = value, upto
-            elif smaller > self.rank and (self.high is None or value < self.high):
-                self.high, upper_start = value, smaller
-        self.remaining = upper_start - self.below
-
-
-def _propose(df: DataFrame, searches: list[_Search], sort_rows: int, accuracy: int) -> dict[str, set[float]]:
-    """One pass: per search interval, the exact value where few rows remain, else two values around the rank."""
-    shared: dict[tuple, list[_Search]] = {}
-    for search in searches:
-        shared.setdefault(search.interval(), []).append(search)
-    asked = []
-    for group in shared.values():
-        if group[0].remaining <= sort_rows:
-            ordered = F.array_sort(F.collect_list(group[0].inside()))
-            asked.append(F.array(*[F.element_at(ordered, s.rank - s.below + 1) for s in group]))
-        else:
-            shares = [share for s in group for share in s.shares(accuracy)]
-            asked.append(F.percentile_approx(group[0].inside(), shares, accuracy))
-    answers = df.agg(*asked).first()
-    proposals: dict[str, set[float]] = {}
-    for (column, *_), values in zip(shared, answers):
-        proposals.setdefault(column, set()).update(values)
-    return proposals
-
-
-def _place(df: DataFrame, proposals: dict[str, set[float]]) -> dict[str, dict[float, tuple[int, int]]]:
-    """One pass: how many values are smaller than, and at most, each proposal."""
-    listed = [(c, v) for c, values in proposals.items() for v in sorted(values)]
-    counts = [
-        count
-        for c, v in listed
-        for count in (F.count_if(F.col(c) < F.lit(v)), F.count_if(F.col(c) <= F.lit(v)))
-    ]
-    placed = df.agg(*counts).first()
-    ranked: dict[str, dict[float, tuple[int, int]]] = {c: {} for c in proposals}
-    for i, (c, v) in enumerate(listed):
-        ranked[c][v] = (placed[2 * i], placed[2 * i + 1])
-    return ranked
-
-
-def order_statistics(
-    df: DataFrame, ranks: dict[str, set[int]], counts: dict[str, int], sort_rows: int, accuracy: int
-) -> dict[tuple[str, int], tuple[float, float]]:
-    """For each 0-based rank of each column: the value there, and the value one rank on (or the last one)."""
-    searches = [_Search(c, r, 0, counts[c]) for c, wanted in ranks.items() for r in sorted(wanted)]
-    while open_ := [s for s in searches if s.found is None]:
-        ranked = _place(df, _propose(df, open_, sort_rows, accuracy))
-        for search in open_:
-            search.narrow(ranked[search.column])
-    # Where the found value ends at its rank, the next one is the smallest beyond it.
-    last_of_value = [s for s in searches if s.rank + 1 == s.upto < counts[s.column]]
-    following = {(s.column, s.rank): s.found for s in searches}
-    if last_of_value:
-        beyond = df.agg(*[F.min(F.when(F.col(s.column) > F.lit(s.found), F.col(s.column))) for s in last_of_value]).first()
-        following |= {(s.column, s.rank): value for s, value in zip(last_of_value, beyond)}
-    return {(s.column, s.rank): (s.found, following[(s.column, s.rank)]) for s in searches}
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    direct_values: int = DIRECT_VALUES,
-    sort_rows: int = SORT_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
-    """One row: for every column an array with its linearly interpolated quantiles (null when empty)."""
-    values = df.select(*[F.when(~F.isnan(c), F.col(c)).cast("double").alias(c) for c in columns])
-    sized = values.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("rows", F.count), ("kinds", F.approx_count_distinct))])
-    sizes = sized.first().asDict()
-    searched = [c for c in columns if sizes[f"kinds_{c}"] > direct_values]
-    direct = values.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns if c not in searched] or [F.lit(0)])
-    if not searched:
-        return direct
-
-    counts = {c: sizes[f"rows_{c}"] for c in searched}
-    spots = {c: [p * (counts[c] - 1) for p in probabilities] for c in searched}
-    ranks = {c: {math.floor(at) for at in spots[c]} for c in searched}
-    exact = order_statistics(values, ranks, counts, sort_rows, accuracy)
-
-    def quantile(column: str, at: float) -> float:
-        low, high = exact[column, math.floor(at)]
+    low: float
+    high: float
+    below: int = 0
+    here: int = 0  # rows that equal the value, once low is high
+
+    @property
+    def found(self) -> bool:
+        return self.low == self.high and self.here > 0
+
+
+def _narrow(counted: DataFrame, searches: list[_Search], bins: int) -> None:
+    """One pass over the counted values for all open searches."""
+    open_ = [(i, s) for i, s in enumerate(searches) if not s.found]
+    bounds = counted.sparkSession.createDataFrame([(i, s.column, s.low, s.high) for i, s in open_], "search int, of int, low double, high double")
+    inside = counted.join(F.broadcast(bounds), (F.col("column") == F.col("of")) & F.col("value").between(F.col("low"), F.col("high")))
+    # Halved, so that the width of no interval overflows. The ends always fall in the first and the last bin.
+    share = (F.col("value") / 2 - F.col("low") / 2) / F.nullif(F.col("high") / 2 - F.col("low") / 2, F.lit(0.0))
+    place = F.when(F.col("value") == F.col("low"), 0).when(F.col("value") == F.col("high"), bins - 1)
+    place = place.otherwise(F.least(F.floor(F.coalesce(share, F.lit(0.5)) * bins), F.lit(bins - 1))).cast("int")
+    rows = inside.groupBy("search", place.alias("bin")).agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
+    for i, search in open_:
+        for row in sorted((r for r in rows if r["search"] == i), key=lambda r: r["bin"]):
+            if search.below + row["n"] > search.rank:
+                search.low, search.high = row["low"], row["high"]
+                search.here = row["n"] if row["low"] == row["high"] else 0
+                break
+            search.below += row["n"]
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], bins: int = BINS) -> DataFrame:
+    """One row: for every column an array with its linearly interpolated quantiles (null when empty).
+
+    Null, NaN and infinite values are left out.
+    """
+    numbers = [F.col(c).cast("double") for c in columns]
+    listed = F.explode(F.array(*[F.struct(F.lit(i).alias("column"), v.alias("value")) for i, v in enumerate(numbers)])).alias("entry")
+    values = df.select(listed).select("entry.*").where(F.col("value").isNotNull() & finite(F.col("value")))
+    counted = materialise(values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "quantile-values")
+    sized = {r["column"]: r for r in counted.groupBy("column").agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()}
+    spots = {i: [p * (r["n"] - 1) for p in probabilities] for i, r in sized.items()}
+    wanted = sorted({(i, rank) for i, at in spots.items() for x in at for rank in (math.floor(x), math.ceil(x))})
+    searches = [_Search(i, rank, sized[i]["low"], sized[i]["high"]) for i, rank in wanted]
+    for s in searches:
+        if s.low == s.high:
+            s.here = sized[s.column]["n"]
+    while not all(s.found for s in searches):
+        _narrow(counted, searches, bins)
+    at_rank = {(s.column, s.rank): s.low for s in searches}
+
+    def quantile(column: int, at: float) -> float:
+        low, high = at_rank[column, math.floor(at)], at_rank[column, math.ceil(at)]
         return low + (high - low) * (at - math.floor(at))
 
-    found = direct.first().asDict() | {c: [quantile(c, at) for at in spots[c]] for c in searched}
-    return df.sparkSession.createDataFrame(
-        [tuple(found[c] for c in columns)], ", ".join(f"`{c}` array<double>" for c in columns)
-    )
+    found = tuple([quantile(i, at) for at in spots[i]] if i in spots else None for i in range(len(columns)))
+    return df.sparkSession.createDataFrame([found], ", ".join(f"`{c}` array<double>" for c in columns))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from kilnwatt.functions.measures import percent, round_exact, two_sided
+from kilnwatt.functions.measures import finite, percent, round_exact, two_sided
 from kilnwatt.operators.filters import flag_iqr_outliers, iqr_fences
 from kilnwatt.operators.joins import in_weekday_order, on_date_spine, with_scalar
 from kilnwatt.operators.quantiles import exact_quantiles
@@ -90,9 +90,9 @@ def weekday_mean(df: DataFrame, value: str = USAGE) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, digits: int = 2, **limits: int) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum; one row per column."""
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum of the finite values; one row per column."""
     columns = list(columns)
-    clean = df.select(*[F.when(~F.isnan(c), F.col(c)).cast("double").alias(c) for c in columns])
+    clean = df.select(*[F.when(finite(F.col(c).cast("double")), F.col(c)).cast("double").alias(c) for c in columns])
     parts = clean.agg(
         *[f(c).alias(f"{c}__{n}") for c in columns for n, f in
           (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]
@@ -163,8 +163,8 @@ def iqr_summary(df: DataFrame, value: str = USAGE, **limits: int) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str = USAGE, bins: int = 50) -> DataFrame:
-    """Equal-width bins over the value range, the last one closed; empty bins count zero."""
-    known = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(value).alias("_v"))
+    """Equal-width bins over the range of the finite values, the last one closed; empty bins count zero."""
+    known = df.where(F.col(value).isNotNull() & finite(F.col(value))).select(F.col(value).alias("_v"))
     edges = known.agg(F.min("_v").alias("_min"), F.max("_v").alias("_max")).where(F.col("_min").isNotNull())
     # A single distinct value gets a range of one around it.
     flat = F.col("_min") == F.col("_max")

@@ -11,7 +11,7 @@ from kilnwatt.operators import filters as flt
 from kilnwatt.operators import stats
 from kilnwatt.operators.quantiles import exact_quantiles
 
-SEARCH = {"direct_values": 0, "sort_rows": 3, "accuracy": 20}
+SEARCH = {"bins": 3}
 
 
 def frame(spark, values, kind="double"):
@@ -42,7 +42,7 @@ def test_quantiles_are_exact(spark, name, limits):
 
 def test_quantiles_mix_and_empty(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("many"), (F.col("id") % 3).cast("double").alias("few"), F.lit(None).cast("double").alias("none"))
-    got = exact_quantiles(df, ["many", "few", "none"], [0.5], direct_values=10, sort_rows=3, accuracy=30).first()
+    got = exact_quantiles(df, ["many", "few", "none"], [0.5], bins=4).first()
     assert (got["many"], got["few"], got["none"]) == ([499.5], [1.0], None)
 
 
@@ -99,3 +99,16 @@ def test_observed_metrics(spark):
     df, metrics = stats.observed(spark.range(10), "seen", rows=F.count(F.lit(1)), high=F.count_if(F.col("id") > 6))
     df.write.format("noop").mode("overwrite").save()
     assert metrics.get == {"rows": 10, "high": 3}
+
+
+def test_infinity_is_left_out(spark):
+    df = frame(spark, [1.0, 2.0, 3.0, float("inf"), float("-inf"), float("nan"), None])
+    row = stats.describe(df, ["v"]).first()
+    assert (row["count"], row["mean"], row["max"]) == (3, 2.0, 3.0)
+    assert column(stats.histogram(df, "v", 2), "rows", "bin") == [1, 2]
+
+
+def test_quantile_tasks_do_not_grow_with_the_input(spark):
+    """Values are counted before they meet, and each pass groups by bin: no exchange into a single task."""
+    many = spark.range(0, 20_000, 1, 64).select((F.col("id") * 7919 % 20_011).cast("double").alias("v"))
+    assert exact_quantiles(many, ["v"], [0.5]).first()["v"] == [float(np.median([i * 7919 % 20_011 for i in range(20_000)]))]
