@@ -131,7 +131,7 @@ twin("sink_processed", "r", "c", "f", "w",
 twin("sink_fanout", "r", "c", "f", "s", "t", "a", "k", """
     SELECT 'anomalies' AS sink, time, usage_kwh, z_score, load_type, NULL AS tariff_type, NULL AS cost_tl FROM a
     UNION ALL SELECT 'cost_analysis', time, usage_kwh, NULL, load_type, tariff_type, cost_tl FROM k""")
-twin("sink_console", "SELECT count(*) AS rows_seen FROM events")
+twin("sink_console", "SELECT CAST(count(*) AS BIGINT) AS rows_seen FROM events")
 twin("time_partitioned", "r", f"SELECT {RAW} FROM r WHERE time BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-16'")
 twin("ingest_verify", "r", """
     SELECT load_type, count(*) AS rows, (SELECT count(*) FROM r) AS total_rows, (SELECT min(time) FROM r) AS first_time,
@@ -332,8 +332,8 @@ twin("set_enum_violations", "r", "c", "f", "s", "t", "k", """
 
 # --- data quality
 twin("dq_tables_exist", """
-    SELECT 'exists:' || name AS "check", CAST(n AS DOUBLE) AS value, true AS passed
-    FROM (VALUES ('raw', 11), ('processed', 30), ('anomalies', 5), ('costs', 5)) v(name, n)""")
+    SELECT 'exists:' || name AS "check", CAST(n AS DOUBLE) AS value, passed
+    FROM (VALUES ('raw', 11, true), ('processed', 30, true), ('anomalies', 5, true), ('costs', 5, true), ('narrow', 2, false), ('missing', 0, false)) v(name, n, passed)""")
 twin("dq_non_empty", "r", "c", "f", "s", "t", "a", "k", "p", " UNION ALL ".join(
     f"""SELECT 'non_empty:{name}' AS "check", CAST(count(*) AS DOUBLE) AS value, count(*) > 0 AS passed FROM {step}"""
     for name, step in (("energy_readings", "r"), ("processed_readings", "p"), ("anomalies", "a"), ("cost_analysis", "k"))))
@@ -358,7 +358,7 @@ twin("dq_tariff_enum", "r", "c", "f", "s", "t", "k", check(
     "count(*) > 0 AND count(*) FILTER (WHERE tariff_type NOT IN ('night', 'day')) = 0", "(SELECT DISTINCT tariff_type FROM k)"))
 twin("dq_anomaly_z", "r", "c", "f", "s", "t", "a", check("anomaly_z", "count(*)", "count(*) = 0", "(SELECT 1 FROM a WHERE abs(z_score) <= 3)"))
 LAG = "CAST(epoch_us((SELECT max(time) FROM r)) - epoch_us(max(time)) AS DOUBLE) / 1000000"
-twin("dq_processing_lag", "r", "p", check("processing_lag", f"round({LAG}, 6)", f"{LAG} < 300", "p"))
+twin("dq_pipeline_lag", "r", "p", check("processing_lag", f"round({LAG}, 6)", f"{LAG} < 300", "p"))
 twin("dq_message_fields", """SELECT 'message_fields' AS "check", CAST(count(*) AS DOUBLE) AS value, count(*) > 0 AS passed FROM events""")
 
 # --- streams

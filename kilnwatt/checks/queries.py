@@ -41,7 +41,7 @@ QUERIES: dict[str, Query] = {}
 # Cut small so that even the smallest test table spans several slots, range partitions and runs of positions.
 FINE = sr.Layout(rows_per_task=300, chunk_rows=128)
 FINE_POSITIONS = sr.Layout(rows_per_task=300, chunk_rows=128, hot_factor=0)
-FINE_QUANTILES = {"direct_values": 100, "sort_rows": 50}
+FINE_QUANTILES = {"bins": 3}
 
 
 def query(build: Query) -> Query:
@@ -181,14 +181,12 @@ def sink_fanout(spark, sf):
 
 @query
 def sink_console(spark, sf):
-    """The preview stream over all messages, run against a sink that prints nothing."""
-    source = fresh_path(spark, "messages")
+    """The preview stream over all messages: how many rows its batches had, counted as each batch is shown."""
+    source, counts = fresh_path(spark, "messages"), fresh_path(spark, "preview")
     topic.publish_files(topic.encode(tb.readings(spark, sf)), source)
     rows = topic.decode(topic.read_message_files(spark, source), RAW_MESSAGE_DDL, keep_null_time=True)
-    preview = jobs.start_preview(rows, sink="noop")
-    preview.awaitTermination()
-    seen = sum(p["numInputRows"] for p in preview.recentProgress)
-    return spark.createDataFrame([(seen,)], "rows_seen bigint")
+    jobs.start_preview(rows, sink="noop", counts=counts).awaitTermination()
+    return spark.read.schema("rows bigint, batch_id bigint").parquet(counts).agg(F.sum("rows").alias("rows_seen"))
 
 
 @query
@@ -375,17 +373,16 @@ def join_scalar_stats(spark, sf):
 
 @query
 def join_day_dimension(spark, sf):
-    """Mean by weekday of the readings that are not on a Sunday; Sunday is kept with a null."""
-    plain = tb.readings(spark, sf).where(F.col("day_of_week") != "Sunday")
-    return rounded(stats.weekday_mean(plain))
+    """Mean by weekday of all readings, a day without any (here staged: Sunday) kept with a null."""
+    means = tb.readings(spark, sf).groupBy("day_of_week").agg(F.avg("usage_kwh").alias("mean_usage"))
+    return rounded(joins.in_weekday_order(means.where(F.col("day_of_week") != "Sunday")).select("day_order", "day_of_week", "mean_usage"))
 
 
 @query
 def join_date_spine(spark, sf):
-    """Daily consumption on weekdays, on a calendar without gaps."""
-    plain = tb.readings(spark, sf).where(F.col("week_status") == "Weekday")
-    daily = plain.groupBy(F.to_date("time").alias("day")).agg(F.sum("usage_kwh").alias("total_usage"))
-    return rounded(joins.on_date_spine(daily), 4)
+    """Daily consumption of all readings on a calendar without gaps; days without any are staged: the weekends."""
+    daily = tb.readings(spark, sf).groupBy(F.to_date("time").alias("day")).agg(F.sum("usage_kwh").alias("total_usage"))
+    return rounded(joins.on_date_spine(daily.where(F.weekday("day") < 5)), 4)
 
 
 @query
@@ -509,7 +506,7 @@ def agg_quantiles(spark, sf):
 
 @query
 def agg_quantiles_bounded(spark, sf):
-    """The same quartiles by bounded sketches and exact counts, as large tables take them."""
+    """The same quartiles with so few bins that many passes are needed, as on a table with many different values."""
     return rounded(stats.quartiles(tb.readings(spark, sf), **FINE_QUANTILES))
 
 
@@ -701,14 +698,14 @@ def set_enum_violations(spark, sf):
 
 @query
 def dq_tables_exist(spark, sf):
-    """The four tables, written from the test data, and looked up with their columns."""
+    """Four empty tables in their layouts, one that lacks a column, and one that isn't there."""
     folder = fresh_path(spark, "store")
-    tables.write_by_date(tb.readings(spark, sf), f"{folder}/raw")
-    tables.write_processed(ft.processed_readings(tb.readings(spark, sf)), f"{folder}/processed")
-    tables.write_by_date(tb.anomalies(spark, sf), f"{folder}/anomalies")
-    tables.write_by_date(tb.costs(spark, sf), f"{folder}/costs")
     layouts = {"raw": RAW_DDL, "processed": PROCESSED_DDL, "anomalies": ANOMALY_DDL, "costs": COST_DDL}
-    return quality.tables_exist(spark, {n: (f"{folder}/{n}", ddl) for n, ddl in layouts.items()})
+    for name, ddl in layouts.items():
+        tables.create_table(spark, f"{folder}/{name}", ddl, by=())
+    tables.create_table(spark, f"{folder}/narrow", "time timestamp, usage_kwh double", by=())
+    wanted = {n: (f"{folder}/{n}", ddl) for n, ddl in layouts.items()}
+    return quality.tables_exist(spark, wanted | {"narrow": (f"{folder}/narrow", COST_DDL), "missing": (f"{folder}/missing", COST_DDL)})
 
 
 @query
@@ -765,7 +762,7 @@ def dq_anomaly_z(spark, sf):
 
 
 @query
-def dq_processing_lag(spark, sf):
+def dq_pipeline_lag(spark, sf):
     return rounded(quality.processing_lag_ok(tb.readings(spark, sf), tb.processed_part(spark, sf)))
 
 

@@ -191,13 +191,17 @@ def start_publishing(processed: DataFrame, folder: str, trigger: Mapping[str, ob
     )
 
 
-def start_preview(stream: DataFrame, sink: str = "console", rows: int = 5, trigger: Mapping[str, object] = ONCE) -> StreamingQuery:
-    """Show the first rows of every batch untruncated."""
-    return (
-        stream.writeStream.outputMode("append")
-        .format(sink)
-        .option("truncate", False)
-        .option("numRows", rows)
-        .trigger(**trigger)
-        .start()
-    )
+def start_preview(
+    stream: DataFrame, sink: str = "console", rows: int = 5, trigger: Mapping[str, object] = ONCE, counts: str | None = None
+) -> StreamingQuery:
+    """Show the first rows of every batch untruncated; with `counts`, also write each batch's row count there."""
+    if counts is None:
+        shown = stream.writeStream.outputMode("append").format(sink).option("truncate", False).option("numRows", rows)
+        return shown.trigger(**trigger).start()
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if sink == "console":
+            batch.show(rows, truncate=False)
+        replace_metrics(batch.agg(F.count(F.lit(1)).alias("rows")), counts, batch_id)
+
+    return run_batches(stream, process, f"{counts}-state", trigger)
