@@ -17,9 +17,11 @@ HEADLINE = (
     "features_full",
     "features_analysis",
     "win_ma_96",
+    "win_slot_halo",
     "win_cum_daily",
     "agg_describe",
     "agg_iqr_summary",
+    "agg_boxplot",
     "agg_histogram",
     "agg_daily_resample",
     "agg_week_status",
@@ -33,6 +35,7 @@ HEADLINE = (
     "sink_processed",
     "st_enrich",
     "st_poll_features",
+    "st_dedup",
 )
 REPEATS = 3
 

@@ -50,15 +50,26 @@ def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.read.schema(BATCHED.format(ddl)).parquet(path)
 
 
+BLOCK = 10_000  # batches whose metrics are summed in one task
+
+
 def replace_metrics(one_row: DataFrame, path: str, batch_id: int) -> None:
     one_row.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_metrics(spark: SparkSession, path: str, ddl: str, running: str) -> DataFrame:
-    """Per-batch metrics with the running total of one of them; a row per batch, so a plain window serves."""
-    metrics = spark.read.schema(f"{ddl}, batch_id bigint").parquet(path)
-    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return metrics.withColumn("total", F.sum(running).over(so_far))
+    """Per-batch metrics with the running total of one of them.
+
+    Batches are summed up in blocks, so that no task sees them all: the one window without partitions is over a row per
+    `BLOCK` batches.
+    """
+    metrics = spark.read.schema(f"{ddl}, batch_id bigint").parquet(path).withColumn("_block", F.floor(F.col("batch_id") / BLOCK))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = metrics.groupBy("_block").agg(F.sum(running).alias("_sum"))
+    blocks = blocks.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
+    so_far = Window.partitionBy("_block").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = metrics.withColumn("_inside", F.sum(running).over(so_far)).join(F.broadcast(blocks), "_block")
+    return summed.withColumn("total", F.col("_carry") + F.col("_inside")).drop("_block", "_carry", "_inside")
 
 
 SCORE_METRICS = "rows bigint, anomalies bigint, cost_rows bigint"

@@ -110,3 +110,21 @@ def test_preview_reaches_console(spark, raw, tmp_path):
     preview.awaitTermination()
     done = preview.recentProgress[0]
     assert done["numInputRows"] == 1 and "Console" in done["sink"]["description"]
+
+
+def test_running_totals_over_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "BLOCK", 4)
+    for batch in range(11):
+        jobs.replace_metrics(spark.sql(f"SELECT {batch + 1}L AS rows, 0L AS late, 0L AS anomalies"), str(tmp_path), batch)
+    got = {r.batch_id: r.total for r in jobs.read_metrics(spark, str(tmp_path), jobs.FEATURE_METRICS, "rows").collect()}
+    assert got == {b: (b + 1) * (b + 2) // 2 for b in range(11)}
+
+
+def test_preview_counts_every_batch(spark, tmp_path):
+    """More batches than a query's recent progress keeps."""
+    source = str(tmp_path / "in")
+    spark.range(0, 220, 1, 110).selectExpr("id", "'x' AS v").write.parquet(source)
+    stream = spark.readStream.schema("id bigint, v string").option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.start_preview(stream, sink="noop", counts=str(tmp_path / "counts")).awaitTermination()
+    counted = spark.read.parquet(str(tmp_path / "counts"))
+    assert counted.count() == 110 and counted.agg({"rows": "sum"}).first()[0] == 220
