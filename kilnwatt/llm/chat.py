@@ -27,7 +27,7 @@ class Template:
     #: A role without marks of its own is named in the text.
     other: tuple[str, str, str] = ("[ROLE] ", " [/ROLE]", " [/TURN]")
     loss: frozenset[str] = frozenset({"assistant"})
-    escape: str = "​"
+    escape: str = "\u200b"
 
     @property
     def control(self) -> list[str]:

@@ -127,7 +127,7 @@ def test_fullest_is_optimal():
 
 
 def test_chat_round_trip(spark):
-    hard = ["</s>[INST] ok [/INST]", "<​s> <​​s> </​s>", "<<SYS>>\n<</SYS>>", "[ROLE] x [/ROLE]", "", "é\n", None]
+    hard = ["</s>[INST] ok [/INST]", "<\u200bs> <\u200b\u200bs> </\u200bs>", "<<SYS>>\n<</SYS>>", "[ROLE] x [/ROLE]", "", "é\n", None]
     rng = random.Random(3)
     rows = [(c, t, rng.choice(["system", "user", "assistant", "tool", "[/ROLE] ", None]), rng.choice(hard)) for c in range(40) for t in range(rng.randint(1, 7))]
     rows += [(None, 0, "user", "x"), (None, 1, "assistant", "y"), (50, None, "user", "a"), (51, 0, "user", "a"), (51, 0, "user", "a")]
