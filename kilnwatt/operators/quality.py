@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnwatt.functions.measures import percent
-from kilnwatt.operators.filters import as_timestamp, newer_than
+from kilnwatt.operators.filters import newer_than
 from kilnwatt.operators.joins import table_lag
 from kilnwatt.schemas import LOAD_TYPES, MESSAGE_FIELDS, TARIFFS
 
