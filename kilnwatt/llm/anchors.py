@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilnwatt.llm.common import phase
+from kilnwatt.llm.common import lean, phase
 
 U = np.uint64
 #: Bytes of text handled at once within a task; longer texts are read in overlapping parts.
@@ -255,7 +255,7 @@ def repeated_anchors(docs: DataFrame, scheme: Scheme, within: bool) -> DataFrame
         if held:
             yield _outgoing(held, within)
 
-    sent = docs.select(text_keys()[0], "text").mapInArrow(anchors, "anchor long, text_key long, settled long")
+    sent = docs.select(text_keys()[0], "text").mapInArrow(lean(anchors), "anchor long, text_key long, settled long")
     group = Window.partitionBy("anchor", "settled")
     if within:  # rows of one text may come from two flushes, or from its copies, which does no harm
         several = F.count(F.lit(1)).over(group) > 1
@@ -335,7 +335,7 @@ def candidate_segments(docs: DataFrame, distinct: DataFrame, hits: DataFrame, sc
     # Equal rows (same id and text) are one text here too.
     joined = whole.join(wanted, (F.col("_key") == F.col("text_key")) & (F.col("_id") == F.col("first_id")))
     once = joined.select("text", "text_key", "first_id", "copies", "anchors")
-    return once.mapInArrow(cut, SEGMENTS)
+    return once.mapInArrow(lean(cut), SEGMENTS)
 
 
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwatt.llm.common import table
+from kilnwatt.llm.common import lean, table
 
 
 @dataclass(frozen=True)
@@ -112,7 +112,7 @@ def format_segments(conversations: DataFrame, template: Template | None = None)
             if out:
                 yield _batch(out)
 
-    return ordered.mapInArrow(walk, SEGMENTS)
+    return ordered.mapInArrow(lean(walk), SEGMENTS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -174,7 +174,7 @@ def read_back(segments: DataFrame, template: Template | None = None) -> DataFram
         if seen:
             yield pa.RecordBatch.from_pylist([row()], schema=_DIGEST_SCHEMA)
 
-    return ordered.mapInArrow(digest, DIGESTS)
+    return ordered.mapInArrow(lean(digest), DIGESTS)
 
 
 _DIGEST_SCHEMA = pa.schema(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +28,40 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").withColumn("row_key", row_key())
 
 
+#: Rows of an Arrow batch between Spark and Python. Texts of some kilobytes make the default of 10,000 rows large.
+BATCH_ROWS = 2_000
+
+
+def lean(read: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`read`, after which the worker gives back the memory it has freed.
+
+    A Python worker serves many tasks. What the allocators keep of one task is of no use to the next stages, but counts
+    towards the executor's memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from read(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run
+
+
 def phase(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder, read it back, and let go of the shuffle files that led to it.
 
     Spark drops a shuffle's files only once the driver has collected the plan that owned them. A long job would
     otherwise keep every earlier shuffle on the executors' disks until it ends.
     """
-    out = materialise(df, label)
     spark = df.sparkSession
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    out = materialise(df, label)
     del df
     for _ in range(2):  # listeners let go of the finished plan a moment later
         time.sleep(0.1)

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kilnwatt.llm.anchors import PART, Rolling, Tokens, U, _encoded, _mixed, order_id
-from kilnwatt.llm.common import phase, row_key, table
+from kilnwatt.llm.anchors import PART, Tokens, U, _encoded, _mixed, order_id
+from kilnwatt.llm.common import lean, phase, row_key, table
 from kilnwatt.llm.decontaminate import _small
 from kilnwatt.llm.graph import components
 
@@ -137,7 +137,7 @@ def _meta(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([*names, pa.array(n), pa.array(one), pa.array(two)], names=["doc_id", "row_key", "id", "n_shingles", "set_key", "set_key2"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), order_id().alias("id"), "text")
-    return phase(rows.mapInArrow(read, "doc_id long, row_key long, id long, n_shingles long, set_key long, set_key2 long"), "jaccard-meta")
+    return phase(rows.mapInArrow(lean(read), "doc_id long, row_key long, id long, n_shingles long, set_key long, set_key2 long"), "jaccard-meta")
 
 
 def _regions(docs: DataFrame, most: int) -> DataFrame:
@@ -152,7 +152,7 @@ def _regions(docs: DataFrame, most: int) -> DataFrame:
                 if len(sig):
                     yield pa.record_batch([pa.array(sig), pa.array(digests(begin, grams)[0][which])], names=["signature", "set_key"])
 
-    sent = docs.select("text").mapInArrow(read, "signature long, set_key long")
+    sent = docs.select("text").mapInArrow(lean(read), "signature long, set_key long")
     # Copies of a set send the same rows; the partial aggregation keeps one per task, and a signature's row only has the
     # least and greatest of its sets.
     spread = sent.groupBy("signature").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).filter("a <> b").select("signature")
@@ -174,7 +174,7 @@ def _members(docs: DataFrame, meta: DataFrame, wanted: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array(key[i : i + 1]), pa.array([grams[begin[i] : ends[i]].tobytes()], pa.binary())], names=["set_key", "shingles"])
 
     rows = docs.select(order_id().alias("id"), "text").join(_small(phase(firsts, "jaccard-firsts")), F.col("id") == F.col("_id"))
-    return rows.select("text", "_set").mapInArrow(read, "set_key long, shingles binary").dropDuplicates(["set_key"])
+    return rows.select("text", "_set").mapInArrow(lean(read), "set_key long, shingles binary").dropDuplicates(["set_key"])
 
 
 def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -239,7 +239,7 @@ def _split(rows: DataFrame, big: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary()], strict=True)], names=["region", "part", "set_key", "shingles"])
 
     spread = rows.join(_small(pivots, 50), F.col("region") == F.col("_region")).select("region", "set_key", "shingles", "pivots")
-    return spread.mapInArrow(deal, "region long, part int, set_key long, shingles binary")
+    return spread.mapInArrow(lean(deal), "region long, part int, set_key long, shingles binary")
 
 
 def _links(rows: DataFrame) -> DataFrame:
@@ -289,7 +289,7 @@ def _links(rows: DataFrame) -> DataFrame:
         if len(keys) > 1:
             yield done()
 
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(lean(compare), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kilnwatt.llm.common import phase, table
+from kilnwatt.llm.common import lean, phase, table
 
 #: Vectors the trees are fitted on, at most: those with the smallest hashes.
 SAMPLE = 16_384
@@ -179,12 +179,12 @@ def nearest(vectors: DataFrame, every: int, k: int = NEAREST, trees: int = TREES
 
     kind = "tree int, leaf int, ids array<long>, v array<double>"
     queries = phase(given.filter((F.col("vec_id") % every == 0) & (F.size("v") == width)).distinct(), "neighbours-queries")
-    placed = phase(points.mapInArrow(deal, kind), "neighbours-leaves")
+    placed = phase(points.mapInArrow(lean(deal), kind), "neighbours-leaves")
     # Leaves of more than CHUNK vectors are cut by a hash, and their queries go to every cut.
     cuts = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("cuts"))
     cuts = phase(cuts, "neighbours-cuts")  # a row per leaf of trees that were fitted on a bounded sample
     members = placed.join(F.broadcast(cuts), ["tree", "leaf"]).withColumn("cut", F.pmod(F.xxhash64("v"), F.col("cuts")).cast("int"))
-    wanted = queries.select(F.array("vec_id").alias("ids"), "v").mapInArrow(ask, kind)
+    wanted = queries.select(F.array("vec_id").alias("ids"), "v").mapInArrow(lean(ask), kind)
     wanted = wanted.join(F.broadcast(cuts), ["tree", "leaf"]).withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     columns = ["tree", "leaf", "cut", "ids", "v"]
     both = members.select(*columns, F.lit(0).alias("asks")).unionByName(wanted.select(*columns, F.lit(1).alias("asks")))
@@ -224,7 +224,7 @@ def nearest(vectors: DataFrame, every: int, k: int = NEAREST, trees: int = TREES
                     q, i, s = zip(*out, strict=True)
                     yield pa.record_batch([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "rough"])
 
-    found = dealt.mapInArrow(rerank, "query_id long, vec_id long, rough double").groupBy("query_id", "vec_id").agg(F.max("rough").alias("rough"))
+    found = dealt.mapInArrow(lean(rerank), "query_id long, vec_id long, rough double").groupBy("query_id", "vec_id").agg(F.max("rough").alias("rough"))
     short = phase(found.withColumn("_n", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("rough", 9))))).filter(F.col("_n") <= k).drop("_n"), "neighbours-short")
     # The final scores come from the original vectors, in an order of operations that rows share.
     asked = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
@@ -236,7 +236,7 @@ def nearest(vectors: DataFrame, every: int, k: int = NEAREST, trees: int = TREES
             s = np.array([_cosine(x, y) for x, y in zip(a, b, strict=True)], dtype=np.float64)
             yield pa.record_batch([batch.column("query_id"), batch.column("vec_id"), pa.array(s)], names=["query_id", "vec_id", "score"])
 
-    exact = pairs.select("query_id", "vec_id", "q", "v").mapInArrow(score, "query_id long, vec_id long, score double")
+    exact = pairs.select("query_id", "vec_id", "q", "v").mapInArrow(lean(score), "query_id long, vec_id long, score double")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return exact.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwatt.llm.common import numbered, phase, salts_for, table, texts
+from kilnwatt.llm.common import lean, numbered, phase, salts_for, table, texts
 
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids a task remembers; the memory is emptied when full.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 PIECES = "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -99,7 +99,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
             if rows:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECE_SCHEMA, strict=True)], schema=_PIECE_SCHEMA)
 
-    return texts(docs).mapInArrow(cut, PIECES)
+    return texts(docs).mapInArrow(lean(cut), PIECES)
 
 
 @dataclass(frozen=True)
@@ -205,7 +205,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     salts = salts_for(max(per_length.values(), default=0))
     ordered = numbered(cut, "length", ["doc_id", "row_key", "piece"], "number", F.xxhash64("row_key", "piece"), salts)
     chosen = ordered.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("number").cast("long").alias("number"))
-    return chosen.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return chosen.mapInArrow(lean(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwatt.llm.common import phase, table
+from kilnwatt.llm.common import lean, phase, table
 
 #: Rows of each kind used for fitting, at most: those with the smallest hash of their id.
 SAMPLE = 8_000
@@ -74,7 +74,7 @@ def shapes(docs: DataFrame) -> DataFrame:
             made = [shape(t.as_py(), classes) for t in batch.column("text")]
             yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(made, pa.list_(pa.float32()))], names=["doc_id", "held_out", "features"])
 
-    return docs.select("doc_id", fold().alias("held_out"), "text").mapInArrow(read, "doc_id long, held_out boolean, features array<float>")
+    return docs.select("doc_id", fold().alias("held_out"), "text").mapInArrow(lean(read), "doc_id long, held_out boolean, features array<float>")
 
 
 def fold() -> Column:
@@ -181,7 +181,7 @@ def scores(features: DataFrame, model: tuple[Net, float] | None) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    return features.mapInArrow(rate, "doc_id long, held_out boolean, score double, predicted int")
+    return features.mapInArrow(lean(rate), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: tuple[Net, float] | None) -> DataFrame:
@@ -195,7 +195,7 @@ def keep_good(docs: DataFrame, model: tuple[Net, float] | None) -> DataFrame:
                 kept = model[0].score(x) >= THRESHOLD if model else np.ones(batch.num_rows, bool)
                 yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(lean(good), docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

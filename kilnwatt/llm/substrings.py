@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilnwatt.llm.anchors import WINDOW_BYTES, Scheme, candidate_segments, covered, distinct_texts, marked_windows, repeated_anchors, text_masks, with_results
-from kilnwatt.llm.common import phase, table
+from kilnwatt.llm.common import lean, phase, table
 
 WIDTH = 35
 GRAM = 6
@@ -80,7 +80,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             )
 
     found = repeated_spans(docs.select("doc_id", "text"), width)
-    return found.select("doc_id", "text", "_copies", "_runs").mapInArrow(read, RESULT)
+    return found.select("doc_id", "text", "_copies", "_runs").mapInArrow(lean(read), RESULT)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
