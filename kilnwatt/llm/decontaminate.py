@@ -112,7 +112,9 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     lengths = sorted({r[0] for r in hits.select("gram_words").distinct().collect()} | {gram})
     meets = None
     for n in lengths:
-        mine = grams(spread.filter(F.size("words") >= span if n == gram else F.size("words") == n), n, "_g")
+        # An item below the span can have as many words as a gram; it's then looked for with the long ones.
+        sought = F.size("words") == n
+        mine = grams(spread.filter(sought | (F.size("words") >= span) if n == gram else sought), n, "_g")
         mine = mine.select("item", F.posexplode_outer("_g").alias("q", "print"))
         theirs = grams(suspects, n, "_g").select("row_key", F.posexplode_outer("_g").alias("p", "print"))
         own = theirs.join(mine, "print").select("row_key", "item", (F.col("p") - F.col("q")).alias("shift"))

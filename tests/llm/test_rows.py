@@ -62,6 +62,17 @@ def test_contamination_odd_rows(spark, docs, odd_rows):  # noqa: F811
     assert in_order(kept.select("doc_id", "text").collect()) == in_order(r for r, w in zip(rows, want, strict=True) if not w[2])
 
 
+def test_contamination_items_of_every_length(spark, docs):  # noqa: F811
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 12)]
+    rows = [(n, f"before {t} after") for n, t in items] + [(100 + n, f"before {t.rsplit(' ', 1)[0]} after") for n, t in items if n > 1]
+    found = decontaminate.contamination(docs(rows), spark.createDataFrame(items, "item_id long, text string"))
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, ",".join(r.items)) for r in found.collect()]
+    assert in_order(got) == in_order(contaminated(rows, items))
+    only = [(n, t) for n, t in items if n == decontaminate.GRAM]
+    kept = decontaminate.clean(docs(rows), spark.createDataFrame(only, "item_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {decontaminate.GRAM}
+
+
 def test_contamination_empty_tables(spark, docs, odd_rows):  # noqa: F811
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r.n_hit == 0 for r in decontaminate.contamination(docs(odd_rows), none).collect())
