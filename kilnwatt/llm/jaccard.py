@@ -2,8 +2,8 @@
 
 Distances between unrelated texts crowd near 1, so cells around pivot documents alone would replicate everything
 everywhere (two radii are wider than the spread of the distances). The first pivots are therefore shares of the shingle
-space: two sets within the radius differ in at most D shingles, so of D + 1 disjoint shares they agree exactly in one,
-and a set belongs to the region of each share with its own content. Regions that have a member in common form a family;
+space: two sets within the radius differ in at most D shingles, so of more than D disjoint shares that have some of a
+set's shingles they agree exactly in one, and a set belongs to the region of each share with its own content. Regions that have a member in common form a family;
 no link leaves a family. Families beyond a size are split by pivot documents into Voronoi regions, a document also going
 to each region whose pivot is at most two radii further than its nearest, again and again while that helps; what stays
 large is cut into blocks, and every pair of blocks is compared. All comparisons count shared shingles exactly.
@@ -23,11 +23,15 @@ from kilnwatt.llm.common import lean, phase, row_key, table
 from kilnwatt.llm.decontaminate import _small
 from kilnwatt.llm.graph import components
 
+#: Words of a shingle, and links have 100 x intersection >= PERCENT x union, unless a caller asks for others.
 SHINGLE = 3
-#: Links have 100 x intersection >= PERCENT x union.
 PERCENT = 90
-#: Sizes of a class differ by less than this factor.
+#: Sizes of a class differ by less than this factor, or by 100 / percent if that is more.
 SPREAD = 1.25
+#: Divisions of the shingle space, tried in turn for sets whose shingles lie in too few shares.
+DIVISIONS = 4
+#: Rows of (signature) to be broadcast.
+SIGNATURES = 2_000_000
 #: Members of a region that one task compares at once.
 REGION = 800
 PIVOTS = 8
@@ -38,25 +42,35 @@ class Sizes:
     """Size classes: `low[c]` to `low[c + 1] - 1` shingles, and the shares a class needs.
 
     A pair is looked for in the class of its larger set, whose size is at most u; within the radius both then differ in
-    at most floor((100 - PERCENT) x 2u / (100 + PERCENT)) shingles.
+    at most floor((100 - percent) x 2u / (100 + percent)) shingles. A smaller set is at most one class below.
     """
 
-    def __init__(self, most: int):
-        low = [1]
+    def __init__(self, most: int, percent: int = PERCENT):
+        low, self.percent = [1], percent
         while low[-1] <= most:
-            low.append(max(low[-1] + 1, int(np.ceil(low[-1] * SPREAD))))
-        low.append(max(low[-1] + 1, int(np.ceil(low[-1] * SPREAD))))
+            low.append(self._next(low[-1]))
+        low.append(self._next(low[-1]))
         self.low = np.array(low, dtype=np.int64)
-        self.shares = (100 - PERCENT) * 2 * (self.low[1:] - 1) // (100 + PERCENT) + 1
+        shares = (100 - percent) * 2 * (self.low[1:] - 1) // (100 + percent) + 1
+        # Some more, as a share of few shingles is often empty.
+        self.shares = shares + np.floor(shares * 3 * np.exp(-(100 + percent) / (2 * max(1, 100 - percent)))).astype(np.int64)
+
+    def _next(self, low: int) -> int:
+        return max(low + 1, int(np.ceil(low * SPREAD)), -(-low * 100 // self.percent))
+
+    def differ(self, size: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """In how many shingles a set and one it is linked with may differ, if the larger one is in class `kind`."""
+        larger = np.minimum(size * 100 // self.percent, self.low[kind + 1] - 1)
+        return (100 - self.percent) * (size + larger) // (100 + self.percent)
 
     def schemes(self, size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, class) pairs: each set in its own class, and in the next if a partner there is possible."""
         own = np.searchsorted(self.low, size, side="right") - 1
-        above = np.flatnonzero(size * 100 >= self.low[own + 1] * PERCENT)
+        above = np.flatnonzero(size * 100 >= self.low[own + 1] * self.percent)
         return [(np.arange(len(size)), own), (above, own[above] + 1)]
 
 
-def shingle_sets(texts: list[bytes], tokens: Tokens) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def shingle_sets(texts: list[bytes], tokens: Tokens, shingle: int = SHINGLE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, set begin, shingle hashes) by groups of texts; a row's set is sorted and distinct. Rows without words are
     left out. A text is a unit here: its words are in memory together."""
     group: list[int] = []
@@ -70,10 +84,10 @@ def shingle_sets(texts: list[bytes], tokens: Tokens) -> Iterator[tuple[np.ndarra
             ends = np.cumsum([len(texts[g]) + 1 for g in group])
             owner = np.searchsorted(ends, start, side="right")
             count = np.bincount(owner, minlength=len(group))
-            grams = tokens.rolling.grams(hashes, SHINGLE)
-            inside = owner[: len(grams)] == owner[SHINGLE - 1 :] if len(grams) else np.zeros(0, bool)
+            grams = tokens.rolling.grams(hashes, shingle)
+            inside = owner[: len(grams)] == owner[shingle - 1 :] if len(grams) else np.zeros(0, bool)
             grams, of = grams[inside], owner[: len(inside)][inside]
-            few = np.flatnonzero((count > 0) & (count < SHINGLE))
+            few = np.flatnonzero((count > 0) & (count < shingle))
             if len(few):
                 begin = np.searchsorted(owner, few)
                 whole = np.array([_mixed(np.add.reduce(hashes[b : b + n] * (np.arange(n, dtype=U) * U(2) + U(3)), keepdims=True) + U(n))[0] for b, n in zip(begin, count[few], strict=True)], dtype=U)
@@ -97,40 +111,51 @@ def digests(begin: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def signatures(begin: np.ndarray, grams: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
-    """(set, signature): for each class a set takes part in, one signature per share of the shingle space."""
+    """(set, signature): for each class a set takes part in, one signature per share that has some of its shingles.
+
+    Of more such shares than it may differ in, one is equal in both sets. A set that has fewer also takes part in the
+    next division, where it meets the others that have too few, and in the last one with its empty shares as well.
+    """
     size = np.diff(begin, append=len(grams))
-    content, place = _mixed(grams + U(77)), _mixed(grams ^ U(0x9E3779B9)) >> U(11)
+    content = _mixed(grams + U(77))
     out_set, out_sig = [], []
     for rows, kind in sizes.schemes(size):
-        shares = sizes.shares[kind]
-        several = shares > 1  # sets with a single share only link with equal ones
-        rows, kind, shares = rows[several], kind[several], shares[several]
-        if not len(rows):
-            continue
-        n = size[rows]
-        at = np.arange(n.sum()) + np.repeat(begin[rows] - (np.cumsum(n) - n), n)
-        first = np.cumsum(shares) - shares
-        cell = np.repeat(first, n) + (place[at] % np.repeat(shares, n).astype(U)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        heads = np.flatnonzero(np.diff(cell[order], prepend=-1))
-        sums = np.zeros(shares.sum(), dtype=U)
-        sums[cell[order][heads]] = np.add.reduceat(content[at[order]], heads)
-        number = np.arange(shares.sum()) - np.repeat(first, shares)
-        sig = _mixed(sums + _mixed(np.repeat(kind, shares).astype(U) * U(1 << 32) + number.astype(U) + U(1)))
-        out_set.append(np.repeat(rows, shares))
-        out_sig.append(sig)
+        several = sizes.shares[kind] > 1  # sets with a single share only link with equal ones
+        rows, kind = rows[several], kind[several]
+        for division in range(DIVISIONS):
+            if not len(rows):
+                break
+            shares, n = sizes.shares[kind], size[rows]
+            at = np.arange(n.sum()) + np.repeat(begin[rows] - (np.cumsum(n) - n), n)
+            place = _mixed(grams[at] ^ U(0x9E3779B9 + division)) >> U(11)
+            first = np.cumsum(shares) - shares
+            cell = np.repeat(first, n) + (place % np.repeat(shares, n).astype(U)).astype(np.int64)
+            order = np.argsort(cell, kind="stable")
+            heads = np.flatnonzero(np.diff(cell[order], prepend=-1))
+            sums = np.zeros(shares.sum(), dtype=U)
+            sums[cell[order][heads]] = np.add.reduceat(content[at[order]], heads)
+            sent = np.zeros(shares.sum(), dtype=bool)
+            sent[cell[order][heads]] = True
+            few = np.add.reduceat(sent.astype(np.int64), first) <= sizes.differ(n, kind)
+            if division == DIVISIONS - 1:
+                sent |= np.repeat(few, shares)
+            number = np.arange(shares.sum()) - np.repeat(first, shares) + (division << 48)
+            sig = _mixed(sums + _mixed(np.repeat(kind, shares).astype(U) * U(1 << 32) + number.astype(U) + U(1)))
+            out_set.append(np.repeat(rows, shares)[sent])
+            out_sig.append(sig[sent])
+            rows, kind = rows[few], kind[few]
     if not out_set:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     return np.concatenate(out_set), np.concatenate(out_sig).view(np.int64)
 
 
-def _meta(docs: DataFrame) -> DataFrame:
+def _meta(docs: DataFrame, shingle: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens("words")
         for batch in batches:
             n = np.zeros(batch.num_rows, dtype=np.int64)
             one, two = n.copy(), n.copy()
-            for row, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens):
+            for row, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens, shingle):
                 n[row] = np.diff(begin, append=len(grams))
                 one[row], two[row] = digests(begin, grams)
             names = [batch.column(c) for c in ("doc_id", "row_key", "id")]
@@ -140,14 +165,14 @@ def _meta(docs: DataFrame) -> DataFrame:
     return phase(rows.mapInArrow(lean(read), "doc_id long, row_key long, id long, n_shingles long, set_key long, set_key2 long"), "jaccard-meta")
 
 
-def _regions(docs: DataFrame, most: int) -> DataFrame:
+def _regions(docs: DataFrame, most: int, shingle: int, percent: int) -> DataFrame:
     """(set_key, signature) of signatures that at least two different sets have."""
-    sizes = Sizes(most)
+    sizes = Sizes(most, percent)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens("words")
         for batch in batches:
-            for _, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens):
+            for _, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens, shingle):
                 which, sig = signatures(begin, grams, sizes)
                 if len(sig):
                     yield pa.record_batch([pa.array(sig), pa.array(digests(begin, grams)[0][which])], names=["signature", "set_key"])
@@ -156,10 +181,11 @@ def _regions(docs: DataFrame, most: int) -> DataFrame:
     # Copies of a set send the same rows; the partial aggregation keeps one per task, and a signature's row only has the
     # least and greatest of its sets.
     spread = sent.groupBy("signature").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).filter("a <> b").select("signature")
-    return sent.join(spread, "signature").select("set_key", "signature").distinct()
+    spread = phase(spread, "jaccard-spread")
+    return sent.join(_small(spread, SIGNATURES), "signature").select("set_key", "signature").distinct()
 
 
-def _members(docs: DataFrame, meta: DataFrame, wanted: DataFrame) -> DataFrame:
+def _members(docs: DataFrame, meta: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(set_key, shingles): one row for each wanted set, read from the text of its first document."""
     firsts = meta.groupBy("set_key", "set_key2").agg(F.min("id").alias("id")).join(wanted, "set_key").select(F.col("id").alias("_id"), F.col("set_key").alias("_set"))
 
@@ -167,7 +193,7 @@ def _members(docs: DataFrame, meta: DataFrame, wanted: DataFrame) -> DataFrame:
         tokens = Tokens("words")
         for batch in batches:
             want = batch.column("_set").to_numpy()
-            for row, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens):
+            for row, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens, shingle):
                 ends = np.append(begin[1:], len(grams))
                 key = digests(begin, grams)[0]
                 for i in np.flatnonzero(key == want[row]).tolist():
@@ -200,11 +226,11 @@ def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None
     return out.astype(np.int64)
 
 
-def linked(sets: list[np.ndarray]) -> np.ndarray:
+def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """For each set the least number of a set it is linked with, through others or itself."""
     n = np.array([len(s) for s in sets])
     common = shared_counts(sets)
-    near = common * 100 >= PERCENT * (n[:, None] + n[None, :] - common)
+    near = common * 100 >= percent * (n[:, None] + n[None, :] - common)
     label = np.arange(len(sets))
     while True:
         least = np.where(near, label[None, :], len(sets)).min(axis=1)
@@ -215,7 +241,7 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
         label = least
 
 
-def _split(rows: DataFrame, big: DataFrame) -> DataFrame:
+def _split(rows: DataFrame, big: DataFrame, percent: int) -> DataFrame:
     """One round of Voronoi regions: (region, part, set_key, shingles) for the members of `big` regions."""
     order = Window.partitionBy("region").orderBy(F.xxhash64("set_key", "region"), "set_key")
     pivots = rows.join(_small(big), "region", "left_semi").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= PIVOTS)
@@ -233,7 +259,7 @@ def _split(rows: DataFrame, big: DataFrame) -> DataFrame:
                 union = np.array([len(s) for s in mine])[:, None] + np.array([len(p) for p in points])[None, :] - common
                 far = (union - common) / union
                 # Two radii, with room for rounding: a linked text's nearest pivot is at most that much further.
-                close = far <= far.min(axis=1, keepdims=True) + 2 * (1 - PERCENT / 100) + 1e-9
+                close = far <= far.min(axis=1, keepdims=True) + 2 * (1 - percent / 100) + 1e-9
                 out += [(region, int(p), keys[own[i]], sets[own[i]]) for i, p in zip(*np.nonzero(close), strict=True)]
             columns = zip(*out, strict=True) if out else [[]] * 4
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary()], strict=True)], names=["region", "part", "set_key", "shingles"])
@@ -242,14 +268,14 @@ def _split(rows: DataFrame, big: DataFrame) -> DataFrame:
     return spread.mapInArrow(lean(deal), "region long, part int, set_key long, shingles binary")
 
 
-def _links(rows: DataFrame) -> DataFrame:
+def _links(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect what is linked within each region, each region in one task or in pairs of blocks."""
     for _ in range(DEPTH):
         counts = phase(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "jaccard-counts")
         big = counts.filter(F.col("n") > REGION)
         if not big.limit(1).count():
             break
-        parts = phase(_split(rows, big.select("region")), "jaccard-parts")
+        parts = phase(_split(rows, big.select("region"), percent), "jaccard-parts")
         # A split pays if comparing its parts takes clearly less than comparing the region.
         cost = parts.groupBy("region", "part").count().groupBy("region").agg(F.sum(F.col("count").cast("double") * F.col("count")).alias("c"))
         useful = big.join(cost, "region").filter(F.col("c") < 0.7 * F.col("n") * F.col("n")).select("region")
@@ -272,7 +298,7 @@ def _links(rows: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> pa.RecordBatch:
-            label = linked(sets)
+            label = linked(sets, percent)
             other = np.flatnonzero(label != np.arange(len(label)))
             name = np.array(keys, dtype=np.int64)
             return pa.record_batch([pa.array(name[other]), pa.array(name[label[other]])], names=["a", "b"])
@@ -292,22 +318,23 @@ def _links(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(lean(compare), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, row_key), one row per row of `docs`.
 
+    Sets are of `shingle` successive words; links have at least `percent` of 100 parts of their union in common.
     Component ids are the least doc_id that links reach. Null and empty texts, and texts of white space, have no
     shingles and link with nothing. A null id counts as the greatest; where only such are reached, the component is null.
     Repeated rows have equal sets, so they are linked. Other columns play no part.
     """
-    meta = _meta(docs)
+    meta = _meta(docs, shingle)
     most = meta.agg(F.max("n_shingles")).first()[0] or 0
-    regions = phase(_regions(docs, most), "jaccard-regions")
+    regions = phase(_regions(docs, most, shingle, percent), "jaccard-regions")
     families = components(_bipartite(regions), "jaccard-families")
     named = families.join(regions.select("set_key").distinct(), F.col("node") == F.col("set_key")).select("set_key", F.col("root").alias("region"))
     named = phase(named, "jaccard-named")
-    members = _members(docs, meta, named.select("set_key"))
+    members = _members(docs, meta, named.select("set_key"), shingle)
     rows = phase(members.join(named, "set_key").select("region", "set_key", "shingles"), "jaccard-members")
-    groups = components(_links(rows), "jaccard-links").select(F.col("node").alias("set_key"), "root")
+    groups = components(_links(rows, percent), "jaccard-links").select(F.col("node").alias("set_key"), "root")
     filled = meta.filter("n_shingles > 0")
     sets = filled.groupBy("set_key", "set_key2").agg(F.min("id").alias("least")).join(groups, "set_key", "left")
     sets = phase(sets.withColumn("root", F.coalesce("root", "set_key")), "jaccard-sets")

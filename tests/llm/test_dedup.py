@@ -128,6 +128,34 @@ def test_linked_pairs_share_a_signature():
         assert a == b or set(sig[which == 0]) & set(sig[which == 1])
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+@pytest.mark.parametrize("most", [12, 60, 600])
+def test_linked_pairs_share_a_signature_of_shingles(percent, most):
+    rng = random.Random(percent + most)
+    sizes, seen = jaccard.Sizes(most * 2, percent), 0
+    assert all(sizes.low[2:] * percent >= sizes.low[1:-1] * 100)  # a partner is at most one class away
+    for _ in range(3000):
+        n = rng.randint(1, most)
+        a = {rng.getrandbits(60) for _ in range(n)}
+        gone = rng.randint(0, (100 - percent) * n // 100)
+        b = set(list(a)[gone:]) | {rng.getrandbits(60) for _ in range(rng.randint(0, n * (100 - percent) // percent))}
+        if a == b or 100 * len(a & b) < percent * len(a | b):
+            continue
+        flat = np.concatenate([np.sort(np.array(list(s), dtype=np.uint64)) for s in (a, b)])
+        which, sig = jaccard.signatures(np.array([0, len(a)]), flat, sizes)
+        assert set(sig[which == 0]) & set(sig[which == 1])
+        seen += 1
+    assert seen > 100
+
+
+def test_unlinked_sets_rarely_share_a_signature():
+    rng = np.random.default_rng(5)
+    flat = np.concatenate([np.sort(rng.integers(0, 2**62, 100, dtype=np.uint64)) for _ in range(2000)])
+    which, sig = jaccard.signatures(np.arange(0, len(flat), 100), flat, jaccard.Sizes(200, 80))
+    _, times = np.unique(sig, return_counts=True)
+    assert (times > 1).sum() <= 20  # empty shares aren't content
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 300), (7, 7), (400, 401), (401, 400)] + [(1000, 1000 + rng.randrange(1, 50)) for _ in range(80)]

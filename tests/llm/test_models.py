@@ -134,6 +134,23 @@ def test_pipeline_stages(spark, docs, odd_rows):  # noqa: F811
     assert {(r.doc_id, r.text) for r in cut.collect()} >= {x for x in want if x not in gone}
 
 
+def test_pipeline_near_stage(spark, docs, odd_rows):  # noqa: F811
+    import corpus_pipeline
+
+    vocabulary = [f"v{i}" for i in range(5000)]
+    text = np.random.default_rng(6).choice(vocabulary, 100, replace=False).tolist()
+    changed = [*text[:25], "other", *text[26:50]]
+    rows = [*odd_rows, (500, " ".join(text)), (501, " ".join([*text, *vocabulary[:15]])), (502, " ".join(text[:50])), (503, " ".join(changed))]
+    sets = [(lambda w: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())((t or "").lower().split()) for _, t in rows]
+    name = [10**9 if i is None else i for i, _ in rows]
+    for _ in rows:
+        name = [min([n] + [m for m, b in zip(name, sets, strict=True) if a and b and 100 * len(a & b) >= 80 * len(a | b)]) for n, a in zip(name, sets, strict=True)]
+    want = {(i, t) for (i, t), n, s in zip(rows, name, sets, strict=True) if not s or n == 10**9 or i == n}
+    assert {500, 502} <= {i for i, _ in want} and not {501, 503} & {i for i, _ in want}
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs(rows), SF_DIR)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == want
+
+
 def test_pipeline_run(spark):
     import corpus_pipeline
 
