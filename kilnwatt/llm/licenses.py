@@ -76,15 +76,29 @@ RULES = (
     ("Proprietary", ("Reserved",)),
 )
 
-#: A sentence ends at a line's end, or at a stop before white space or the end of the text.
+#: Wording of published notices besides `SENTENCES`.
+PUBLISHED = {"licensed under the apache license version 2 0 the license": "ApacheLine"}
+
+#: A sentence of `OP2_SQL` ends at a line's end, or at a stop before white space or the end of the text.
 ENDS = r"[.!?]+(\s|$)|[\r\n]+"
 NOISE = r"[^a-z0-9\n]+"
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, in order."""
-    ended = F.regexp_replace(F.lower(text), ENDS, "\n")
-    return F.split(F.regexp_replace(ended, NOISE, " "), " ?\n ?")
+#: Marks of a list at the beginning of a line, after comment leaders.
+MARKS = r"(^|[\r\n])[^a-z0-9\r\n]*([0-9]{1,2}|[a-z])[.)]\s"
+#: Where a sentence may begin or end. It may also go on there.
+BREAKS = r"[.!?;:]+(?=\s|$)|[\r\n]+"
+ADDRESS = r"(://\S+)\s"
+
+
+def sentences(text: Column, known: list[str]) -> Column:
+    """The sentences of a text that are `known`, in order; between their words there may be breaks of any kind."""
+    broken = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(text), MARKS, "\n"), ADDRESS, "$1\n"), BREAKS, "\n")
+    lines = F.regexp_replace(F.regexp_replace(broken, NOISE, " "), r" ?\n[ \n]*", "\n")
+    longest = sorted(known, key=len, reverse=True)
+    pattern = "(?<=\n)(?:" + "|".join(s.replace(" ", "[ \n]") for s in longest) + ")(?=\n)"
+    found = F.regexp_extract_all(F.concat(F.lit("\n"), F.trim(lines), F.lit("\n")), F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda s: F.translate(s, "\n", " "))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -92,12 +106,13 @@ def scan(docs: DataFrame) -> DataFrame:
 
     `identifiers` are those of the known sentences in order, `licences` the sorted distinct names of the rules that
     matched, `unexplained` the identifiers no rule took. Null and empty texts have none of them (empty strings).
-    A known sentence that is broken over lines isn't recognised. Other columns are left out.
+    A known sentence may be wrapped over lines, in a comment too; `OP2_SQL` only knows those on one line. Other columns
+    are left out.
     """
-    known = {text: name for name, text in SENTENCES.items()}
+    known = {text: name for name, text in SENTENCES.items()} | PUBLISHED
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    found = docs.select("doc_id", F.filter(sentences(F.col("text")), lambda s: F.trim(s).isin(list(known))).alias("_found"))
-    marked = found.select("doc_id", F.coalesce(F.size("_found"), F.lit(0)).alias("_n"), F.transform("_found", lambda s: F.concat(F.lit("<"), names[F.trim(s)], F.lit(">"))).alias("_ids"))
+    found = docs.select("doc_id", sentences(F.col("text"), list(known)).alias("_found"))
+    marked = found.select("doc_id", F.coalesce(F.size("_found"), F.lit(0)).alias("_n"), F.transform("_found", lambda s: F.concat(F.lit("<"), names[s], F.lit(">"))).alias("_ids"))
     rows = marked.select("doc_id", F.greatest(F.col("_n"), F.lit(0)).cast("long").alias("n_known"), F.coalesce(F.array_join("_ids", ""), F.lit("")).alias("identifiers"))
     rows = rows.withColumn("_left", F.col("identifiers")).withColumn("_names", F.array().cast("array<string>"))
     for name, parts in RULES:

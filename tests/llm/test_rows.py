@@ -95,6 +95,56 @@ def test_license_rules(docs):  # noqa: F811
     assert licenses.scan(docs([])).collect() == []
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0."""
+
+
+def test_published_licences_wrapped_and_commented(docs):  # noqa: F811
+    layouts = [lambda t: t, lambda t: " ".join(t.split()), lambda t: t.replace("\n", "\r\n"), *((lambda t, k=k: "\n".join(k + x for x in t.split("\n"))) for k in ("# ", " * ", "// "))]
+    notices = [(APACHE, "Apache-2.0", 5), (MIT, "MIT", 2), (BSD.replace("1. ", "* ").replace("2. ", "* "), "BSD-2-Clause", 3), (BSD, "BSD-2-Clause", 3), (GPL, "GPL-2.0-or-later", 3), (MPL, "MPL-2.0", 1)]
+    cases = [(f(t), name, n) for t, name, n in notices for f in layouts]
+    got = {r.doc_id: (r.licences, r.n_known, r.unexplained) for r in licenses.scan(docs([(i, t) for i, (t, _, _) in enumerate(cases)])).collect()}
+    assert got == {i: (name, n, "") for i, (_, name, n) in enumerate(cases)}
+
+
 def test_packing_round_trip(docs, real, odd_rows):  # noqa: F811
     from tokenizers import Tokenizer
 
