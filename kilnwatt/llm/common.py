@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -52,22 +52,37 @@ def lean(read: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
     return run
 
 
+#: Settings that hold while a phase is written: batches of texts stay small, and its shuffle files go when it ends.
+PHASE_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """The session with other settings, which get their former values back."""
+    former = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in former.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def phase(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder, read it back, and let go of the shuffle files that led to it.
+    """Write `df` to the shared folder and read it back. The shuffle files that led to it are dropped when it is written.
 
-    Spark drops a shuffle's files only once the driver has collected the plan that owned them. A long job would
-    otherwise keep every earlier shuffle on the executors' disks until it ends.
+    A long job would otherwise keep every earlier shuffle on the executors' disks until it ends. An executor lost later
+    costs nothing, as the phases that follow only read what is written.
     """
-    spark = df.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    out = materialise(df, label)
-    del df
-    for _ in range(2):  # listeners let go of the finished plan a moment later
-        time.sleep(0.1)
-        gc.collect()
-        spark._jvm.System.gc()
-    return out
+    with settings(df.sparkSession, PHASE_SETTINGS):
+        return materialise(df, label)
 
 
 def numbered(rows: DataFrame, group: str, order: list[str], name: str, salt: Column, salts: int) -> DataFrame:

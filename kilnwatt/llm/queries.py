@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kilnwatt.llm import chat, decontaminate, jaccard, licenses, neighbours, packing, quality, sharding, substrings, suffixes
+from kilnwatt.llm import chat, decontaminate, jaccard, licenses, neighbours, packing, quality, sharding, substrings, suffixes, urls, variants, whitening
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_quality": quality.op9_quality,
     "op10_kd_shards": sharding.op10_kd_shards,
+    "op11_url_filter": urls.op11_url_filter,
+    "op12_spelling_variants": variants.op12_spelling_variants,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
