@@ -5,13 +5,12 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kilnwatt.session import materialise
+from kilnwatt.session import materialise, settings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,22 +58,6 @@ PHASE_SETTINGS = {
 }
 
 
-@contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """The session with other settings, which get their former values back."""
-    former = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in former.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def phase(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back. The shuffle files that led to it are dropped when it is written.
 

@@ -35,15 +35,20 @@ class WordIds:
     """Ids of whole texts, as 32-bit little-endian machines store them, from the tokenizer's ids of their words.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are those of its words in a row.
-    Only words not seen before are tokenised, in batches.
+    Only words not seen before are tokenised, in batches. Marks that the tokenizer knows as special, such as the end of a
+    text, are ids of their own wherever they stand in a text, as the tokenizer reads them; with `marks` off they are
+    ordinary characters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, marks: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        special = {t.content: array("I", [i]).tobytes() for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        self._marks = special if marks else {}
+        self._mark = re.compile("|".join(re.escape(m) for m in sorted(self._marks, key=len, reverse=True)))
+        self._tokenizer.encode_special_tokens = True  # what is left between marks has none
         self._stops = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n]|$)")
         self._known: dict[bytes, bytes] = {}
 
@@ -62,7 +67,17 @@ class WordIds:
             self._known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, made, strict=True))
 
     def of(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids.
+        """Little-endian unsigned 32-bit ids."""
+        if not self._marks:
+            return self._between(text)
+        out, at = [], 0
+        for found in self._mark.finditer(text):
+            out += [self._between(text[at : found.start()]), self._marks[found.group()]]
+            at = found.end()
+        return b"".join([*out, self._between(text[at:])])
+
+    def _between(self, text: str) -> bytes:
+        """Ids of a stretch without marks.
 
         Texts are cut at ASCII white space, which every word boundary respects, and before stops that end a word, which
         the tokenizer separates from letters and digits too. It reads A-Z as a-z, so this is done once for the text.

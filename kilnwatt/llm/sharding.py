@@ -120,7 +120,7 @@ def split(meta: DataFrame, leaves: int) -> DataFrame:
 
 
 def _cuts(rows: DataFrame, shapes: dict, widest: dict[int, str], counts: dict[int, int]) -> list[Cut]:
-    least, most = -(2**63), 2**63 - 1
+    least, most = -(2**63), 2**63 - 1  # a null id is the least
     wanted = {n: s["w"] * (counts[n] // 2) / counts[n] for n, s in shapes.items()}
     at: dict[int, list[int]] = {}
     held = rows
@@ -142,8 +142,14 @@ def _cuts(rows: DataFrame, shapes: dict, widest: dict[int, str], counts: dict[in
                 following[n] = active[n] - below
             elif below + here - active[n] <= active[n] - below:
                 at[n] += [v, *[most] * (2 - len(at[n]))]
-            else:
-                at[n] += [v, *[least] * (2 - len(at[n]))] if len(at[n]) < 2 else [v - 1]
+            elif column == "_cut":
+                at[n] += [v, -1, most]  # checksums are not negative
+            elif column == TIES[0]:
+                at[n] += [v - 1, most]
+            elif v > least:
+                at[n].append(v - 1)
+            else:  # below the least id there are the smaller checksums only
+                at[n] = [at[n][0], at[n][1] - 1, most]
         active = following
         if active:
             tied = rows.sparkSession.createDataFrame([(n, at[n][-1]) for n in active], "_t int, _v long")

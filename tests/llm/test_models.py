@@ -156,3 +156,56 @@ def test_pipeline_run(spark):
 
     out = corpus_pipeline.run(spark, SF_DIR)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
+
+
+def test_sharding_null_ids_at_a_cut(spark):
+    """Cuts that fall before the least id, and before a checksum that only null ids have."""
+    for rows in ([(1, "a" * 39)] + [(None, "b" * 40)] * 3, [(None, "b" * 40)] * 5 + [(-(2**63), "b" * 40)], [(None, None)] * 4 + [(5, "x" * 100)]):
+        df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source")
+        got = sharding.shard(df, shards=8).collect()
+        assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+        for s in {r.shard for r in got}:
+            assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
+def naive_shards(rows, leaves):
+    """Rows (size, lang, source, checksum, id) split in memory by weighted medians along the widest dimension."""
+    dims = (0, 1, 2)
+    root = [max(1, max(r[d] for r in rows) - min(r[d] for r in rows)) for d in dims]
+
+    def divide(node, k):
+        if k == 1 or not node:
+            return [node] + [[]] * (k - 1)
+        d = max(dims, key=lambda c: ((max(r[c] for r in node) - min(r[c] for r in node)) / root[c], -c))
+        weight = sum(r[0] for r in node)
+        wanted, slack = weight * (k // 2) / k, sharding.KEEP_TOGETHER * weight
+
+        def key(r):
+            return (r[d], r[3], r[4])
+
+        ordered = sorted(node, key=key)
+        # The cut lies where the sum is nearest to the wanted one, among the places allowed.
+        best = None
+        for depth in (1, 2, 3):
+            places, total = [(0, 0)], 0
+            for i, r in enumerate(ordered, 1):
+                total += r[0]
+                if i == len(ordered) or key(ordered[i])[:depth] != key(r)[:depth]:
+                    places.append((i, total))
+            low = max((p for p in places if p[1] < wanted), default=(0, 0), key=lambda p: p[1])
+            high = min((p for p in places if p[1] >= wanted), key=lambda p: p[1])
+            best = high if high[1] - wanted <= wanted - low[1] else low
+            if min(high[1] - wanted, wanted - low[1]) <= slack:
+                break
+        return divide(ordered[: best[0]], k // 2) + divide(ordered[best[0] :], k - k // 2)
+
+    return divide(rows, leaves)
+
+
+@pytest.mark.parametrize("leaves", [2, 8, 5])
+def test_shards_equal_naive_tree(spark, real, leaves):  # noqa: F811
+    table = pd.read_parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(len((t or "").encode()) + 1, zlib.crc32(a.encode()), zlib.crc32(s.encode()), zlib.crc32((t or "").encode()), i) for i, t, a, s in zip(table.doc_id, table.text, table.lang, table.source, strict=True)]
+    got = sharding.shard(spark.read.parquet(f"{SF_DIR}/documents.parquet"), shards=leaves).collect()
+    mine = {i: {r.doc_id for r in got if r.shard == i} for i in range(leaves)}
+    assert mine == {i: {r[4] for r in part} for i, part in enumerate(naive_shards(rows, leaves))}

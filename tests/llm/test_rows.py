@@ -80,7 +80,7 @@ def test_contamination_empty_tables(spark, docs, odd_rows):  # noqa: F811
 
 
 def test_license_rules(docs):  # noqa: F811
-    grant = licenses.SENTENCES["MitGrant"].capitalize()
+    grant = licenses.NOTICES["MitGrant"].capitalize()
     rows = [
         (1, f"Intro.\n{grant}. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\nEnd"),
         (2, "All Rights Reserved. Released under the MIT License."),
@@ -91,7 +91,7 @@ def test_license_rules(docs):  # noqa: F811
         (6, "not released under the mit license at all"),
     ]
     got = {(r.doc_id, r.n_known, r.licences, r.unexplained) for r in licenses.scan(docs(rows)).collect()}
-    assert got == {(1, 2, "MIT", ""), (2, 2, "MIT,Proprietary", ""), (3, 2, "Apache-2.0", "<GplSee>"), (4, 0, "", ""), (5, 0, "", ""), (6, 0, "", "")}
+    assert got == {(1, 2, "MIT", ""), (2, 2, "MIT", ""), (3, 2, "Apache-2.0", "<GPLSee>"), (4, 0, "", ""), (5, 0, "", ""), (6, 0, "", "")}
     assert licenses.scan(docs([])).collect() == []
 
 
@@ -149,8 +149,7 @@ def test_packing_round_trip(docs, real, odd_rows):  # noqa: F811
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    odd = ["Don't, it's 3.14. É. İ. ΟΔΟΣ. <|endoftext|>. a!. .b, ,c. 1,2,\x1cx\x85y　z", "word " * 5000, None, ""]
+    odd = ["a <|endoftext|> b", "x<|endoftext|><|startoftext|>'s <|ENDOFTEXT|> <|endoftext| >", "<|endoftext|>", " <|startoftext|>\n\n.a", "Don't, it's 3.14. É. İ. ΟΔΟΣ. <|endoftext|>. a!. .b, ,c. 1,2,\x1cx\x85y　z", "word " * 5000, None, ""]
     rows = [(i, t) for i, t in enumerate([t for _, t in real[:60]] + [t for _, t in odd_rows] + odd)]
     got = packing.pack(docs(rows), TOKENIZER).collect()
     ids = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4") for i, t in rows}
