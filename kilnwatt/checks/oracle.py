@@ -369,14 +369,30 @@ twin("st_empty_guard", "SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows F
 twin("st_poll_features", "r", "first_delivery", "second_delivery", "taken", "c", "f", "w",
      f"SELECT {PROCESSED} FROM w WHERE usage_ma_1h IS NOT NULL")
 ORACLE["st_poll_features"] = ORACLE["st_poll_features"].replace("FROM r)", "FROM taken)", 1)
-twin("st_late_data", "r", "first_delivery", "second_delivery", "taken", """
+
+
+def late_counts(order: str, lost: str) -> str:
+    """Rows, late rows and anomalies per delivery: `order` numbers the rows of a series, whose first three are left out."""
+    numbered = f"""SELECT time, row_number() OVER ({order}) AS n,
+       (usage_kwh - CAST(27.39 AS DOUBLE)) / CAST(33.44 AS DOUBLE) > 3 OR usage_kwh < 2 AS flagged FROM {lost}"""
+    taken = "count(*) FILTER (WHERE n > 3) AS rows"
+    return f"""
     SELECT batch_id, rows, late, anomalies, CAST(sum(rows) OVER (ORDER BY batch_id) AS BIGINT) AS total FROM (
-      SELECT CAST(0 AS BIGINT) AS batch_id, count(*) - 3 AS rows, CAST(0 AS BIGINT) AS late, count(*) FILTER (WHERE n > 3 AND flagged) AS anomalies
-      FROM numbered WHERE time <= (SELECT max(time) FROM first_delivery)
+      SELECT CAST(0 AS BIGINT) AS batch_id, {taken}, CAST(0 AS BIGINT) AS late, count(*) FILTER (WHERE n > 3 AND flagged) AS anomalies
+      FROM ({numbered}) WHERE time <= (SELECT max(time) FROM first_delivery)
       UNION ALL
-      SELECT 1, count(*), (SELECT count(*) FROM second_delivery WHERE time <= (SELECT max(time) FROM first_delivery)),
-        count(*) FILTER (WHERE flagged) FROM numbered WHERE time > (SELECT max(time) FROM first_delivery))""",
-     numbered="""SELECT time, row_number() OVER (ORDER BY time) AS n,
-       (usage_kwh - CAST(27.39 AS DOUBLE)) / CAST(33.44 AS DOUBLE) > 3 OR usage_kwh < 2 AS flagged FROM taken""")
+      SELECT 1, {taken}, (SELECT count(*) FROM second_delivery WHERE time <= (SELECT max(time) FROM first_delivery)),
+        count(*) FILTER (WHERE n > 3 AND flagged) FROM ({numbered}) WHERE time > (SELECT max(time) FROM first_delivery))"""
+
+
+twin("st_late_single", "r", "first_delivery", "second_delivery", "taken", late_counts("ORDER BY time", "taken"))
+twin("st_late_data", "r", "first_delivery", "second_delivery", "taken",
+     late_counts("PARTITION BY lagging_reactive_power ORDER BY time", "taken"))
+ORACLE["st_keyed_features"] = (
+    ORACLE["st_poll_features"].replace("OVER (ORDER BY time", "OVER (PARTITION BY lagging_reactive_power ORDER BY time")
+    .replace(f"SELECT {PROCESSED}", f"SELECT {PROCESSED}, CAST(lagging_reactive_power AS BIGINT) AS meter")
+)
+twin("st_compact", "r", "c", "f", "s", "t", "a", "SELECT time, usage_kwh, z_score, load_type FROM a")
 twin("st_poll_publish", "r", "c", "f", "w", f"SELECT {PROCESSED} FROM w WHERE usage_ma_1h IS NOT NULL")
 twin("st_dedup", "r", f"SELECT {RAW} FROM r")
+twin("st_dedup_keyed", "r", f"SELECT {RAW} FROM r")

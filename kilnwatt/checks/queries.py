@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kilnwatt.checks import testbed as tb
@@ -34,6 +35,7 @@ from kilnwatt.schemas import (
 from kilnwatt.session import fresh_path
 from kilnwatt.sources import csv, tables, topic
 from kilnwatt.streaming import jobs
+from kilnwatt.streaming.progress import finish
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -165,7 +167,7 @@ def scored_run(spark, sf, zone_mode="utc"):
     folder = fresh_path(spark, "scoring")
     topic.publish_files(topic.encode(tb.row_features(spark, sf)), f"{folder}/topic")
     decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic"), SCORED_MESSAGE_DDL)
-    jobs.start_scoring(decoded, folder, zone_mode=zone_mode).awaitTermination()
+    finish(jobs.start_scoring(decoded, folder, zone_mode=zone_mode))
     return folder
 
 
@@ -582,7 +584,7 @@ def agg_shape(spark, sf):
 @query
 def agg_batch_metrics(spark, sf):
     folder = scored_run(spark, sf)
-    return jobs.read_metrics(spark, f"{folder}/metrics", jobs.SCORE_METRICS, "rows")
+    return jobs.read_metrics(spark, folder, jobs.SCORE_METRICS)
 
 
 # --- windows
@@ -786,7 +788,7 @@ def st_trigger(spark, sf):
     """The scoring job started twice on one checkpoint: the second start finds nothing new."""
     folder = scored_run(spark, sf)
     again = topic.decode(topic.read_message_files(spark, f"{folder}/topic"), SCORED_MESSAGE_DDL)
-    jobs.start_scoring(again, folder).awaitTermination()
+    finish(jobs.start_scoring(again, folder))
     return jobs.read_anomalies(spark, folder).select("time", "usage_kwh", "z_score", "load_type")
 
 
@@ -797,16 +799,17 @@ def st_empty_guard(spark, sf):
     broken = topic.encode(tb.row_features(spark, sf)).select("key", F.lit("{broken").alias("value"))
     topic.publish_files(broken, f"{folder}/topic")
     decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic"), SCORED_MESSAGE_DDL)
-    jobs.start_scoring(decoded, folder).awaitTermination()
+    finish(jobs.start_scoring(decoded, folder))
     return stats.count_by(jobs.read_costs(spark, folder), "batch_id")
 
 
-def delivered(spark, sf, start):
+def delivered(spark, sf, start, prepare=lambda df: df):
     """Run a stream job once per delivery, on one checkpoint."""
     folder = fresh_path(spark, "deliveries")
     for delivery in tb.arrivals(spark, sf):
-        delivery.write.mode("append").parquet(f"{folder}/in")
-        start(spark.readStream.schema(RAW_DDL).parquet(f"{folder}/in"), folder).awaitTermination()
+        rows = prepare(delivery)
+        rows.write.mode("append").parquet(f"{folder}/in")
+        finish(start(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), folder))
     return folder
 
 
@@ -817,11 +820,30 @@ def st_poll_features(spark, sf):
     return rounded(jobs.read_processed(spark, folder).drop("batch_id", "date"), only=MEANS)
 
 
+def metered_run(spark, sf):
+    return delivered(spark, sf, lambda s, f: jobs.start_keyed_features(s, f, "meter"), tb.metered)
+
+
+@query
+def st_keyed_features(spark, sf):
+    """Features of eighty meters over two deliveries, each meter's frames continuing in the state store."""
+    folder = metered_run(spark, sf)
+    return rounded(jobs.read_keyed(spark, folder, "meter", "bigint").drop("batch_id", "date"), only=MEANS)
+
+
 @query
 def st_late_data(spark, sf):
-    """Rows taken and left out as late, per delivery."""
+    """Rows taken and left out as late, per delivery, as the query's progress tells them."""
+    metrics = jobs.read_metrics(spark, metered_run(spark, sf), jobs.FEATURE_METRICS)
+    # A batch without data may run between the deliveries, to move the watermark on.
+    return metrics.withColumn("batch_id", (F.row_number().over(Window.orderBy("batch_id")) - 1).cast("bigint"))
+
+
+@query
+def st_late_single(spark, sf):
+    """The same of the job over one series, which leaves out what isn't later than its newest reading."""
     folder = delivered(spark, sf, lambda s, f: jobs.start_features(s, f, jobs.ONCE))
-    return jobs.read_metrics(spark, f"{folder}/metrics", jobs.FEATURE_METRICS, "rows")
+    return jobs.read_feature_counts(spark, folder)
 
 
 @query
@@ -833,11 +855,36 @@ def st_poll_publish(spark, sf):
     return rounded(topic.decode(spark.read.schema(topic.FILE_MESSAGES).parquet(f"{folder}/messages")), only=MEANS)
 
 
-@query
-def st_dedup(spark, sf):
-    """All readings delivered twice, the second time by a replay, into a table keyed by time."""
+def replayed(spark, sf, start):
+    """Run a stream job on all readings, and again on a replay of them."""
     folder = fresh_path(spark, "unique")
     for _ in range(2):
         tb.readings(spark, sf).write.mode("append").parquet(f"{folder}/in")
-        jobs.start_unique(spark.readStream.schema(RAW_DDL).parquet(f"{folder}/in"), folder).awaitTermination()
-    return tables.read_by_date(spark, f"{folder}/readings", RAW_DDL).drop("date")
+        finish(start(spark.readStream.schema(RAW_DDL).parquet(f"{folder}/in"), folder))
+    return folder
+
+
+@query
+def st_dedup(spark, sf):
+    """All readings delivered twice, the second time by a replay; recent keys are in the state store."""
+    return jobs.read_unique(spark, replayed(spark, sf, jobs.start_unique_recent)).drop("batch_id", "date")
+
+
+@query
+def st_dedup_keyed(spark, sf):
+    """The same by keyed inserts, against all that is stored."""
+    return tables.read_by_date(spark, f"{replayed(spark, sf, jobs.start_unique)}/readings", RAW_DDL).drop("date")
+
+
+@query
+def st_compact(spark, sf):
+    """The scored anomalies after a stream of twelve files, one to a batch, whose batches were merged meanwhile."""
+    folder = fresh_path(spark, "compacted")
+    parts = tb.row_features(spark, sf).repartitionByRange(12, "time")
+    topic.publish_files(topic.encode(parts), f"{folder}/topic")
+    decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic", files_per_batch=1), SCORED_MESSAGE_DDL)
+    finish(jobs.start_scoring(decoded, folder))
+    store = replace(jobs.scores(folder), fan=4)
+    store.compact(spark)
+    store.clean(spark, keep=0)
+    return jobs.read_anomalies(spark, folder).select("time", "usage_kwh", "z_score", "load_type")

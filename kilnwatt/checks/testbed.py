@@ -71,6 +71,11 @@ def newest(df: DataFrame, time: str = "time"):
     return df.agg(F.max(time)).first()[0]
 
 
+def metered(df: DataFrame) -> DataFrame:
+    """Readings with a series column: eighty meters."""
+    return df.withColumn("meter", F.col("lagging_reactive_power").cast("bigint"))
+
+
 # Header of the source CSV, in the order of the raw columns.
 CSV_HEADER = (
     "date", "Usage_kWh", "Lagging_Current_Reactive.Power_kVarh", "Leading_Current_Reactive_Power_kVarh", "CO2(tCO2)",

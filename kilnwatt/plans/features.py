@@ -36,6 +36,11 @@ def add_fixed_z(df: DataFrame, params: ZParams = FEATURE_Z) -> DataFrame:
     return df.withColumn("z_anomaly", m.spike_or_drop(F.col(USAGE), F.col("z_score"), params))
 
 
+def with_row_features(rolled: DataFrame, params: ZParams = FEATURE_Z) -> DataFrame:
+    """Everything derived from one row alone."""
+    return rolled.transform(add_calendar).transform(add_power_factor).transform(add_fixed_z, params).transform(add_costs)
+
+
 def add_costs(df: DataFrame) -> DataFrame:
     return df.withColumns(m.cost_columns(F.col(USAGE), F.col("tariff_period")))
 
@@ -96,8 +101,7 @@ def processed_readings(
 
     The window step sees the raw columns only; everything derived per row is added after the exchange.
     """
-    rolled = add_rolling(m.nan_to_null(readings), tiebreak, fill, layout=layout)
-    full = rolled.transform(add_calendar).transform(add_power_factor).transform(add_fixed_z, params).transform(add_costs)
+    full = with_row_features(add_rolling(m.nan_to_null(readings), tiebreak, fill, layout=layout), params)
     kept = full if keep_incomplete else drop_incomplete(full)
     return kept.select(*PROCESSED_COLUMNS)
 

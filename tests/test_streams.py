@@ -10,6 +10,7 @@ from kilnwatt.plans import features as ft
 from kilnwatt.schemas import RAW_DDL
 from kilnwatt.sources import topic
 from kilnwatt.streaming import jobs
+from kilnwatt.streaming.progress import finish
 
 
 def rows(df, *names):
@@ -55,7 +56,7 @@ def test_late_rows_are_counted(spark, raw, tmp_path):
     feed(spark, f"{folder}/in", [raw(*first), raw(("2024-01-01 03:30:00", 7.0), ("2024-01-01 06:00:00", 5.0))])
     stream = spark.readStream.schema(RAW_DDL).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     jobs.start_features(stream, folder, jobs.ONCE).awaitTermination()
-    metrics = jobs.read_metrics(spark, f"{folder}/metrics", jobs.FEATURE_METRICS, "rows").orderBy("batch_id").collect()
+    metrics = jobs.read_feature_counts(spark, folder).orderBy("batch_id").collect()
     assert [(r["rows"], r["late"], r["total"]) for r in metrics] == [(2, 0, 2), (1, 1, 3)]
 
 
@@ -74,7 +75,7 @@ def test_features_batch_replay(spark, raw, tmp_path):
 def test_scoring_replay_leaves_sinks_unchanged(spark, tmp_path):
     folder = str(tmp_path)
     batch = tb.scored(spark, SF_DIR)
-    process = jobs.fan_out(f"{folder}/anomalies", f"{folder}/cost_analysis", f"{folder}/metrics")
+    process = jobs.fan_out(jobs.scores(folder))
     counts = []
     for _ in range(2):
         process(batch, 0)
@@ -88,10 +89,10 @@ def test_scoring_equals_batch_over_many_files(spark, tmp_path):
     for part in tb.row_features(spark, SF_DIR).randomSplit([1.0] * 3, 5):
         topic.publish_files(topic.encode(part).coalesce(1), f"{folder}/topic")
     decoded = topic.decode(topic.read_message_files(spark, f"{folder}/topic", files_per_batch=1))
-    jobs.start_scoring(decoded, folder).awaitTermination()
+    finish(jobs.start_scoring(decoded, folder))
     names = ("time", "usage_kwh", "z_score", "load_type")
     assert rows(jobs.read_anomalies(spark, folder), *names) == rows(tb.anomalies(spark, SF_DIR), *names)
-    metrics = jobs.read_metrics(spark, f"{folder}/metrics", jobs.SCORE_METRICS, "rows").orderBy("batch_id").collect()
+    metrics = jobs.read_metrics(spark, folder, jobs.SCORE_METRICS).orderBy("batch_id").collect()
     assert len(metrics) == 3 and metrics[-1]["total"] == tb.readings(spark, SF_DIR).count()
 
 
@@ -112,12 +113,10 @@ def test_preview_reaches_console(spark, raw, tmp_path):
     assert done["numInputRows"] == 1 and "Console" in done["sink"]["description"]
 
 
-def test_running_totals_over_blocks(spark, tmp_path, monkeypatch):
+def test_running_totals_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(jobs, "BLOCK", 4)
-    for batch in range(11):
-        jobs.replace_metrics(spark.sql(f"SELECT {batch + 1}L AS rows, 0L AS late, 0L AS anomalies"), str(tmp_path), batch)
-    got = {r.batch_id: r.total for r in jobs.read_metrics(spark, str(tmp_path), jobs.FEATURE_METRICS, "rows").collect()}
-    assert got == {b: (b + 1) * (b + 2) // 2 for b in range(11)}
+    metrics = spark.range(11).selectExpr("id AS batch_id", "id + 1 AS rows")
+    assert {r.batch_id: r.total for r in jobs.with_totals(metrics, "rows").collect()} == {b: (b + 1) * (b + 2) // 2 for b in range(11)}
 
 
 def test_preview_counts_every_batch(spark, tmp_path):
