@@ -69,6 +69,10 @@ STEPS = {
     "d": "SELECT CAST(time AS DATE) AS day, avg(usage_kwh) AS mean_usage FROM r GROUP BY 1",
     "panel": """
         SELECT * FROM a WHERE time BETWEEN TIMESTAMP '2024-01-16' AND (SELECT max(time) FROM a)""",
+    "sorted_out": """
+        SELECT usage_kwh, CASE WHEN lagging_reactive_power < 4 THEN 'unreadable' WHEN lagging_reactive_power < 8 THEN 'time missing'
+          WHEN lagging_reactive_power < 12 THEN 'time unreadable'
+          WHEN lagging_reactive_power < 16 OR usage_kwh IS NULL THEN 'field missing' END AS reason FROM r""",
     "first_delivery": "SELECT * FROM r WHERE time < TIMESTAMP '2024-01-16' AND load_type <> 'Maximum_Load'",
     "second_delivery": "SELECT * FROM r WHERE time >= TIMESTAMP '2024-01-16' OR load_type = 'Maximum_Load'",
     "taken": """
@@ -331,9 +335,16 @@ twin("set_enum_violations", "r", "c", "f", "s", "t", "k", """
     UNION ALL SELECT DISTINCT tariff_type FROM k WHERE tariff_type NOT IN ('night', 'day')""")
 
 # --- data quality
-twin("dq_tables_exist", """
-    SELECT 'exists:' || name AS "check", CAST(n AS DOUBLE) AS value, passed
-    FROM (VALUES ('raw', 11, true), ('processed', 30, true), ('anomalies', 5, true), ('costs', 5, true), ('narrow', 2, false), ('missing', 0, false)) v(name, n, passed)""")
+GIVEN = {  # fixed values: table, columns looked for
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey", "n_usage_kwh"),
+}
+twin("dq_tables_exist", " UNION ALL ".join(
+    f"""SELECT 'exists:{t}' AS "check", CAST(count(*) AS DOUBLE) AS value, count(*) = {len(names)} AS passed
+    FROM (SELECT DISTINCT column_name FROM information_schema.columns
+      WHERE table_name = '{t}' AND column_name IN ({", ".join(f"'{n}'" for n in names)}))""" for t, names in GIVEN.items()))
 twin("dq_non_empty", "r", "c", "f", "s", "t", "a", "k", "p", " UNION ALL ".join(
     f"""SELECT 'non_empty:{name}' AS "check", CAST(count(*) AS DOUBLE) AS value, count(*) > 0 AS passed FROM {step}"""
     for name, step in (("energy_readings", "r"), ("processed_readings", "p"), ("anomalies", "a"), ("cost_analysis", "k"))))
@@ -361,6 +372,13 @@ LAG = "CAST(epoch_us((SELECT max(time) FROM r)) - epoch_us(max(time)) AS DOUBLE)
 twin("dq_pipeline_lag", "r", "p", check("processing_lag", f"round({LAG}, 6)", f"{LAG} < 300", "p"))
 twin("dq_message_fields", """SELECT 'message_fields' AS "check", CAST(count(*) AS DOUBLE) AS value, count(*) > 0 AS passed FROM events""")
 
+ORACLE["scan_unprocessed_bucketed"] = ORACLE["scan_unprocessed"]
+ORACLE["time_bounds_by_date"] = ORACLE["agg_time_bounds"]
+twin("agg_quantiles_sketch", "SELECT p, count(value) > 0 AS within FROM events, (VALUES (0.05::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.95::DOUBLE)) v(p) GROUP BY p")
+twin("decode_dead_letters", "r", "sorted_out", """
+    SELECT 'good' AS reason, count(*) AS n, round(sum(usage_kwh), 4) AS usage_kwh FROM sorted_out WHERE reason IS NULL
+    UNION ALL SELECT reason, count(*), NULL FROM sorted_out WHERE reason IS NOT NULL GROUP BY reason""")
+
 # --- streams
 twin("st_enrich", "r", "c", "f", "s", "t", "k", """
     SELECT time, usage_kwh, tariff_type, cost_tl, load_type, CAST(time AS DATE) AS date FROM k""")

@@ -13,13 +13,11 @@ from kilnwatt.functions import calendar as cal
 from kilnwatt.functions import measures as m
 from kilnwatt.functions.text import day_first_time
 from kilnwatt.operators import filters as flt
-from kilnwatt.operators import joins, quality, stats
+from kilnwatt.operators import joins, quality, quantiles, stats
 from kilnwatt.operators import series as sr
 from kilnwatt.plans import dashboard
 from kilnwatt.plans import features as ft
 from kilnwatt.schemas import (
-    ANOMALY_DDL,
-    COST_DDL,
     FEATURE_Z,
     LOAD_TYPES,
     PANEL_STEPS,
@@ -98,19 +96,49 @@ def scan_ordered(spark, sf):
     return sr.sort_series(tb.readings(spark, sf))
 
 
+def by_date(spark, df, label):
+    """The readings as a table by date."""
+    path = fresh_path(spark, label)
+    tables.write_by_date(df, path)
+    return path
+
+
 @query
 def scan_unprocessed(spark, sf):
-    return joins.unprocessed(tb.readings(spark, sf), tb.processed_part(spark, sf), tb.RESUME_AT)
+    """The poll over tables by date: dates before the cursor are pruned on both sides."""
+    raw, done = by_date(spark, tb.readings(spark, sf), "raw"), by_date(spark, tb.processed_part(spark, sf), "processed")
+    read = lambda path: tables.read_by_date(spark, path, RAW_DDL)
+    return joins.unprocessed(read(raw), read(done), tb.RESUME_AT).drop("date")
+
+
+@query
+def scan_unprocessed_bucketed(spark, sf):
+    """The poll over tables bucketed alike by time: the join exchanges neither side."""
+    frames = []
+    for name, df in (("raw", tb.readings(spark, sf)), ("done", tb.processed_part(spark, sf))):
+        path = fresh_path(spark, name)
+        table = f"{name}_{path[-32:]}"
+        tables.write_bucketed(df, table, path, buckets=8)
+        frames.append(spark.table(table))
+    return joins.unprocessed(*frames, tb.RESUME_AT)
 
 
 @query
 def scan_keyset(spark, sf):
-    return joins.next_page(tb.readings(spark, sf), tb.RESUME_AT)
+    table = tables.read_by_date(spark, by_date(spark, tb.readings(spark, sf), "raw"), RAW_DDL)
+    return joins.next_page(table, tb.RESUME_AT).drop("date")
 
 
 @query
 def cursor_init(spark, sf):
-    return joins.resume_cursor(tb.processed_part(spark, sf))
+    """The newest processed time, from the newest date of the table alone."""
+    return tables.newest_time(spark, by_date(spark, tb.processed_part(spark, sf), "processed"), RAW_DDL)
+
+
+@query
+def time_bounds_by_date(spark, sf):
+    """First and last time, from the oldest and the newest date alone."""
+    return tables.time_ends(spark, by_date(spark, tb.readings(spark, sf), "raw"), RAW_DDL)
 
 
 @query
@@ -129,6 +157,28 @@ def decode_json(spark, sf):
     return topic.decode(topic.encode(tb.readings(spark, sf)), RAW_MESSAGE_DDL)
 
 
+def spoilt(spark, sf):
+    """All readings as messages; those of some meters are cut short, have no time, one that can't be read, or no value."""
+    messages = tb.metered(tb.readings(spark, sf))
+    spelt = topic.encode(messages.drop("meter").withColumn("_meter", F.col("lagging_reactive_power")))
+    value, meter = F.col("value"), F.get_json_object("value", "$._meter").cast("double")
+    bad = F.when(meter < 4, F.substring(value, 1, 40)).when(meter < 8, F.regexp_replace(value, '"time":"[^"]*"', '"time":null'))
+    bad = bad.when(meter < 12, F.regexp_replace(value, '"time":"[^"]*"', '"time":"soon"')).when(meter < 16, F.regexp_replace(value, '"usage_kwh":[^,]*', '"usage_kwh":null'))
+    return spelt.withColumn("value", bad.otherwise(value))
+
+
+@query
+def decode_dead_letters(spark, sf):
+    """Stored readings and kept-back messages by reason: together, all messages."""
+    folder = fresh_path(spark, "ingest")
+    topic.publish_files(spoilt(spark, sf), f"{folder}/topic")
+    finish(jobs.start_ingest(topic.read_message_files(spark, f"{folder}/topic"), folder))
+    store = jobs.ingest_store(folder)
+    good = store.read(spark, "readings").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("usage_kwh"), 4).alias("usage_kwh"))
+    dead = store.read(spark, "dead_letters").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return good.withColumn("reason", F.lit("good")).unionByName(dead, allowMissingColumns=True)
+
+
 @query
 def encode_json(spark, sf):
     messages = topic.encode(tb.readings(spark, sf))
@@ -512,6 +562,19 @@ def agg_quantiles_bounded(spark, sf):
     return rounded(stats.quartiles(tb.readings(spark, sf), **FINE_QUANTILES))
 
 
+@query
+def agg_quantiles_sketch(spark, sf):
+    """Quantiles from sketches stored per date: is the rank of each within a hundredth of the rows of the one asked for?"""
+    plain = tb.readings(spark, sf)
+    stored = fresh_path(spark, "sketches")
+    quantiles.quantile_sketches(plain.withColumn("date", F.to_date("time")), "usage_kwh", "date").write.parquet(stored)
+    found = quantiles.sketched_quantiles(spark.read.parquet(stored), [0.05, 0.25, 0.5, 0.75, 0.95])
+    ranked = plain.where("usage_kwh IS NOT NULL").crossJoin(F.broadcast(found)).groupBy("p").agg(
+        F.avg((F.col("usage_kwh") < F.col("quantile")).cast("double")).alias("below"), F.avg((F.col("usage_kwh") <= F.col("quantile")).cast("double")).alias("up_to")
+    )
+    return ranked.select("p", ((F.col("below") - 0.01 <= F.col("p")) & (F.col("p") <= F.col("up_to") + 0.01)).alias("within"))
+
+
 @query
 def agg_iqr_summary(spark, sf):
     return rounded(stats.iqr_summary(tb.readings(spark, sf)))
@@ -698,16 +761,19 @@ def set_enum_violations(spark, sf):
 # --- data quality
 
 
+# Columns of the given tables that the library reads.
+GIVEN = {
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate date, o_totalprice double",
+    "region": "r_regionkey bigint, r_name string",
+    "nation": "n_nationkey bigint, n_name string, n_regionkey bigint, n_usage_kwh double",
+}
+
+
 @query
 def dq_tables_exist(spark, sf):
-    """Four empty tables in their layouts, one that lacks a column, and one that isn't there."""
-    folder = fresh_path(spark, "store")
-    layouts = {"raw": RAW_DDL, "processed": PROCESSED_DDL, "anomalies": ANOMALY_DDL, "costs": COST_DDL}
-    for name, ddl in layouts.items():
-        tables.create_table(spark, f"{folder}/{name}", ddl, by=())
-    tables.create_table(spark, f"{folder}/narrow", "time timestamp, usage_kwh double", by=())
-    wanted = {n: (f"{folder}/{n}", ddl) for n, ddl in layouts.items()}
-    return quality.tables_exist(spark, wanted | {"narrow": (f"{folder}/narrow", COST_DDL), "missing": (f"{folder}/missing", COST_DDL)})
+    """The given tables with the columns wanted of them; one of the columns isn't there."""
+    return quality.tables_exist(spark, {name: (f"{sf}/{name}.parquet", ddl) for name, ddl in GIVEN.items()})
 
 
 @query

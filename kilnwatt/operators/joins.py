@@ -11,6 +11,11 @@ from kilnwatt.schemas import DAY_NAMES
 EPOCH_CURSOR = "2000-01-01 00:00:00"  # fixed value: where a first run starts
 
 
+def since(df: DataFrame, edge: Column) -> DataFrame:
+    """Where the table is laid out by date, only the dates from that of `edge` on; the rest is never listed as input."""
+    return df.where(F.col("date") >= F.to_date(edge)) if "date" in df.columns else df
+
+
 def resume_cursor(processed: DataFrame, default: str = EPOCH_CURSOR, time: str = "time") -> DataFrame:
     """One row: the last processed time, or the default for an empty table."""
     return processed.agg(F.coalesce(F.max(time), F.lit(default).cast("timestamp")).alias("cursor"))
@@ -32,10 +37,11 @@ def not_in(df: DataFrame, seen: DataFrame, key: str = "time") -> DataFrame:
 def unprocessed(raw: DataFrame, processed: DataFrame, cursor, limit: int | None = 500, time: str = "time") -> DataFrame:
     """Oldest raw rows after the cursor that the processed table lacks.
 
-    The cursor also bounds the processed side: older rows there cannot match.
+    The cursor also bounds the processed side: older rows there cannot match. On both sides dates before it are pruned. If
+    both are bucketed alike by time (`write_bucketed`), neither is exchanged.
     """
     edge = as_timestamp(cursor)
-    fresh = not_in(raw.where(F.col(time) > edge), processed.where(F.col(time) > edge), time).orderBy(time)
+    fresh = not_in(since(raw, edge).where(F.col(time) > edge), since(processed, edge).where(F.col(time) > edge), time).orderBy(time)
     return fresh if limit is None else fresh.limit(limit)
 
 
@@ -50,7 +56,7 @@ def next_page(df: DataFrame, cursor, limit: int = 100, time: str = "time", tiebr
     later = F.col(time) > edge
     if after is not None:
         later = later | ((F.col(time) == edge) & (order > F.lit(after)))
-    return df.where(later).orderBy(F.col(time), order).limit(limit)
+    return since(df, edge).where(later).orderBy(F.col(time), order).limit(limit)
 
 
 def row_mark(df: DataFrame) -> Column:

@@ -82,3 +82,29 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 
     found = tuple([quantile(i, at) for at in spots[i]] if i in spots else None for i in range(len(columns)))
     return df.sparkSession.createDataFrame([found], ", ".join(f"`{c}` array<double>" for c in columns))
+
+
+#: Size of the sketches: rank errors stay near 1.65 % of the rows at 200, 0.4 % at 800.
+SKETCH_SIZE = 800
+
+
+def quantile_sketches(df: DataFrame, column: str, by: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """(`by`, rows, sketch): one mergeable sketch per group, to be stored, for instance per date.
+
+    Null, NaN and infinite values are left out.
+    """
+    value = F.col(column).cast("double")
+    finite_values = df.where(value.isNotNull() & finite(value))
+    return finite_values.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_double(value, size).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """(p, quantile): approximate quantiles of everything in the sketches, such as those of a range of dates.
+
+    Opt-in: only the sketches are read, and ranks are off by the error of their size. No sketches give nulls.
+    """
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    wanted = F.array(*map(F.lit, probabilities))
+    empty = F.coalesce(F.kll_sketch_get_n_double("sketch"), F.lit(0)) == 0
+    found = merged.select(F.when(~empty, F.kll_sketch_get_quantile_double("sketch", wanted)).alias("found"))
+    return found.select("found", F.posexplode(wanted).alias("at", "p")).select("p", F.get("found", F.col("at")).alias("quantile"))

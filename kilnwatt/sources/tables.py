@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from kilnwatt.operators.joins import insert_ignore
+from kilnwatt.operators.joins import EPOCH_CURSOR, insert_ignore
 from kilnwatt.schemas import PROCESSED_COLUMNS
 
 
@@ -40,6 +41,48 @@ def read_by_date(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.read.schema(f"{ddl}, date date").parquet(path)
 
 
+def date_folders(table: DataFrame) -> list[str]:
+    """The dates a table by date has files for, oldest first, from the file names Spark has already listed."""
+    found = {m.group(1) for f in table.inputFiles() if (m := re.search(r"/date=(\d{4,}-\d\d-\d\d)/", f))}
+    return sorted(found)
+
+
+def _end_of(table: DataFrame, days: list[str], pick: Callable[[str], Column], time: str) -> DataFrame | None:
+    """One row with the picked time of the first of the given dates that has any; each look reads one date."""
+    for day in days:
+        one = table.where(F.col("date") == F.lit(day).cast("date")).agg(pick(time).alias("at"))
+        if one.first()[0] is not None:
+            return one
+    return None
+
+
+def newest_time(spark: SparkSession, path: str, ddl: str, default: str = EPOCH_CURSOR, time: str = "time") -> DataFrame:
+    """One row with the `cursor` to resume from, read from the newest date alone; the default for an empty table."""
+    table = read_by_date(spark, path, ddl)
+    end = _end_of(table, date_folders(table)[::-1], F.max, time)
+    return spark.sql(f"SELECT timestamp'{default}' AS cursor") if end is None else end.withColumnRenamed("at", "cursor")
+
+
+def time_ends(spark: SparkSession, path: str, ddl: str, time: str = "time") -> DataFrame:
+    """One row with first_time and last_time of a table by date, read from its oldest and its newest date alone."""
+    table = read_by_date(spark, path, ddl)
+    days = date_folders(table)
+    first, last = _end_of(table, days, F.min, time), _end_of(table, days[::-1], F.max, time)
+    if first is None or last is None:
+        return spark.createDataFrame([(None, None)], "first_time timestamp, last_time timestamp")
+    return first.withColumnRenamed("at", "first_time").crossJoin(last.withColumnRenamed("at", "last_time"))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "time", mode: str = "append") -> None:
+    """Append to a catalogue table whose files are bucketed and sorted by a key.
+
+    Tables with the same buckets join on the key without an exchange. A bucket is one task, so keep plain tables where
+    single keys have a large share of the rows: there the adaptive join splits them.
+    """
+    parts = df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    parts.format("parquet").option("path", path).saveAsTable(table)
+
+
 def write_processed(df: DataFrame, path: str, mode: str = "append") -> int:
     return write_by_date(df.select(*PROCESSED_COLUMNS), path, mode)
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kilnwatt.functions.measures import nan_to_null
 from kilnwatt.functions.text import iso_time
-from kilnwatt.schemas import MESSAGE_DDL
+from kilnwatt.schemas import MESSAGE_DDL, column_names
 
 TOPIC = "energy_raw"  # fixed value
 FILE_MESSAGES = "key string, value string"
@@ -36,6 +36,31 @@ def decode(messages: DataFrame, ddl: str = MESSAGE_DDL, keep_null_time: bool = F
     return nan_to_null(rows.withColumn("time", F.col("time").try_cast("timestamp")))
 
 
+#: Why a message can't be used; the first that holds.
+REASONS = ("unreadable", "time missing", "time unreadable", "field missing")
+
+
+def decode_all(messages: DataFrame, ddl: str = MESSAGE_DDL, required: tuple[str, ...] = ()) -> DataFrame:
+    """Every message once: the decoded columns, the raw `value`, and the `reason` it can't be used, null for good ones.
+
+    Each message is parsed once. Unreadable is what isn't a JSON object; of `required` fields none may be null.
+    """
+    text = F.col("value").cast("string")
+    # The function is opened by a generator, so that later conditions aren't pushed below it and parse again.
+    parsed = messages.select(text.alias("value"), F.from_json(text, f"{ddl}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("m"))
+    rows = parsed.select("value", F.inline(F.array("m"))) if "value" not in column_names(ddl) else parsed.select("value", "m.*")
+    read_time = F.col("time").try_cast("timestamp")
+    missing = F.lit(False)
+    for name in required:
+        missing = missing | F.col(name).isNull()
+    unreadable = F.col("value").isNull() | F.col("_corrupt").isNotNull() | ~F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
+    holds = (unreadable, F.col("time").isNull(), read_time.isNull(), missing)
+    reason = F.lit(None).cast("string")
+    for name, condition in reversed(list(zip(REASONS, holds, strict=True))):
+        reason = F.when(condition, F.lit(name)).otherwise(reason)
+    return nan_to_null(rows.withColumn("reason", reason).withColumn("time", read_time).drop("_corrupt"))
+
+
 def read_topic(
     spark: SparkSession, servers: str, topic: str = TOPIC, starting: str = "latest", fail_on_data_loss: bool = False
 ) -> DataFrame:

@@ -19,10 +19,10 @@ from kilnwatt.functions import measures as m
 from kilnwatt.operators.filters import drop_incomplete, route_anomalies, route_costs
 from kilnwatt.operators.series import DEFAULT_LAYOUT, Layout, series_order
 from kilnwatt.plans.features import processed_readings, with_row_features
-from kilnwatt.schemas import ANOMALY_DDL, COST_DDL, PROCESSED_DDL, RAW_COLUMNS, RAW_DDL, ROWS_4H, STREAM_Z, ZParams, column_names
+from kilnwatt.schemas import ANOMALY_DDL, COST_DDL, PROCESSED_DDL, RAW_COLUMNS, RAW_DDL, RAW_MESSAGE_DDL, ROWS_4H, STREAM_Z, ZParams, column_names
 from kilnwatt.session import settings
 from kilnwatt.sources.tables import append_new, create_table
-from kilnwatt.sources.topic import encode
+from kilnwatt.sources.topic import decode_all, encode
 from kilnwatt.streaming.commits import Store, remove
 from kilnwatt.streaming.keyed import STORE_SETTINGS, keyed_frames
 from kilnwatt.streaming.progress import MetricsLog, read_log
@@ -153,6 +153,36 @@ def read_costs(spark: SparkSession, folder: str) -> DataFrame:
     return scores(folder).read(spark, "cost_analysis")
 
 
+INGEST_METRICS = "rows bigint, dead bigint"
+DEAD_DDL = "value string, reason string"
+
+
+def ingest_store(folder: str, ddl: str = RAW_DDL) -> Store:
+    return Store(folder, {"readings": ddl, "dead_letters": DEAD_DDL})
+
+
+def start_ingest(messages: DataFrame, folder: str, ddl: str = RAW_MESSAGE_DDL, required: tuple[str, ...] = ("usage_kwh",), trigger: Mapping[str, object] = ONCE) -> StreamingQuery:
+    """Messages to the raw table; those that can't be used are kept as they came, with the reason, in the same commit."""
+    store = ingest_store(folder)
+    store.create(messages.sparkSession)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)  # one parse for both tables
+        try:
+            if kept.isEmpty() or store.committed(spark, batch_id):
+                return
+            store.write("readings", kept.where("reason IS NULL").select(*RAW_COLUMNS), batch_id)
+            store.write("dead_letters", kept.where("reason IS NOT NULL").select("value", "reason"), batch_id)
+            store.commit(spark, batch_id)
+        finally:
+            kept.unpersist()
+
+    sorted_out = decode_all(messages, ddl, required)
+    dead = F.count_if(F.col("reason").isNotNull())
+    return run_watched(sorted_out, process, folder, trigger, INGEST_METRICS, rows=F.count(F.lit(1)), dead=dead)
+
+
 def features_store(folder: str) -> Store:
     return Store(folder, {"processed_readings": PROCESSED_DDL, "counts": FEATURE_METRICS})
 

@@ -178,3 +178,80 @@ def test_message_check_skips_old_format(spark, raw):
     assert quality.message_fields(old.unionAll(current)).first()["passed"] is True
     short = current.withColumn("value", F.regexp_replace("value", '"shift"', '"shifted"'))
     assert quality.message_fields(short.unionAll(current)).first()["passed"] is False
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_polls_prune_dates(spark, raw, tmp_path):
+    """Both sides of the poll and the pages read the dates from the cursor on; the cursor reads the newest date."""
+    days = [f"2024-01-{d:02d} 06:00:00" for d in range(1, 21)]
+    for name, rows in (("raw", [(t, 1.0) for t in days]), ("done", [(t, 1.0) for t in days[:12]])):
+        tables.write_by_date(raw(*rows), str(tmp_path / name))
+    read = lambda name: tables.read_by_date(spark, str(tmp_path / name), RAW_DDL)
+    poll = joins.unprocessed(read("raw"), read("done"), days[9])
+    assert plan_of(poll).count("(date#") >= 2 and plan_of(poll).count(">= 2024-01-10") >= 2
+    assert texts(poll) == days[12:]
+    page = joins.next_page(read("raw"), days[15], 2)
+    assert ">= 2024-01-16" in plan_of(page) and texts(page) == days[16:18]
+    cursor = tables.newest_time(spark, str(tmp_path / "done"), RAW_DDL)
+    assert "= 2024-01-12" in plan_of(cursor) and str(cursor.first()[0]) == days[11]
+    ends = tables.time_ends(spark, str(tmp_path / "raw"), RAW_DDL)
+    assert [str(x) for x in ends.first()] == [days[0], days[-1]]
+
+
+def test_ends_of_odd_tables(spark, raw, tmp_path):
+    """Null times and an empty table: the default, and nulls."""
+    empty, nulls = str(tmp_path / "empty"), str(tmp_path / "nulls")
+    tables.create_table(spark, empty, f"{RAW_DDL}, date date")
+    tables.write_by_date(raw((None, 1.0), (T[1], 2.0)), nulls)
+    assert str(tables.newest_time(spark, empty, RAW_DDL).first()[0]) == joins.EPOCH_CURSOR
+    assert tuple(tables.time_ends(spark, empty, RAW_DDL).first()) == (None, None)
+    assert str(tables.newest_time(spark, nulls, RAW_DDL).first()[0]) == T[1]
+
+
+def test_bucketed_poll_has_no_exchange(spark, raw, tmp_path):
+    rows = [(f"2024-01-01 00:{i % 60:02d}:{i // 60:02d}", float(i)) for i in range(300)] + [(T[0], 5.0)] * 150  # a hot time
+    for name, part in (("raw_b", rows), ("done_b", rows[100:200])):
+        tables.write_bucketed(raw(*part), name, str(tmp_path / name), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = joins.not_in(spark.table("raw_b"), spark.table("done_b"))
+        assert "Exchange" not in plan_of(fresh) and "SortMergeJoin" in plan_of(fresh)
+        taken = {t for t, _ in rows[100:200]}
+        assert fresh.count() == sum(t not in taken for t, _ in rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("raw_b", "done_b"):
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_every_message_is_kept(spark, tmp_path):
+    good = '{"time":"2024-01-01T00:00:00","usage_kwh":1.5}'
+    cases = [(good, None), (None, "unreadable"), ("", "unreadable"), ("{broken", "unreadable"), ("[1]", "unreadable"), ("7", "unreadable"), ("{}", "time missing"),
+             ('{"time":"soon","usage_kwh":1}', "time unreadable"), ('{"time":"2024-01-01T00:00:00"}', "field missing"), (good, None)]
+    df = spark.createDataFrame([("k", v) for v, _ in cases], "key string, value string")
+    got = topic.decode_all(df, "time string, usage_kwh double", ("usage_kwh",)).collect()
+    assert sorted(((r.value, r.reason) for r in got), key=str) == sorted(cases, key=str)
+
+
+def test_sketched_quantiles(spark):
+    """Ranks stay within the bound, also where a third of the rows is equal; the merge of parts is as good as one."""
+    from kilnwatt.operators import quantiles
+
+    df = spark.range(60_000).selectExpr("id % 7 AS part", "CASE WHEN id % 3 = 0 THEN 5D ELSE CAST(hash(id) % 100000 AS DOUBLE) END AS v")
+    df = df.unionByName(spark.sql("SELECT 1L AS part, explode(array(NULL, double('NaN'), double('Infinity'))) AS v"))
+    values = sorted(r.v for r in df.where("v IS NOT NULL AND v < double('Infinity')").collect())
+    for r in quantiles.sketched_quantiles(quantiles.quantile_sketches(df, "v", "part"), [0.0, 0.1, 0.4, 0.9, 1.0]).collect():
+        below, up_to = sum(x < r.quantile for x in values) / len(values), sum(x <= r.quantile for x in values) / len(values)
+        assert below - 0.01 <= r.p <= up_to + 0.01
+    assert quantiles.sketched_quantiles(quantiles.quantile_sketches(df.limit(0), "v", "part"), [0.5]).first().quantile is None
+
+
+def test_tables_exist_odd(spark, tmp_path):
+    """Empty tables are there; a narrow one lacks columns; a missing one is the finding."""
+    tables.create_table(spark, str(tmp_path / "raw"), RAW_DDL, by=())
+    tables.create_table(spark, str(tmp_path / "narrow"), "time timestamp, usage_kwh double", by=())
+    found = quality.tables_exist(spark, {n: (str(tmp_path / n), RAW_DDL) for n in ("raw", "narrow", "missing")})
+    assert [(r.check, r.value, r.passed) for r in found.collect()] == [("exists:raw", 11.0, True), ("exists:narrow", 2.0, False), ("exists:missing", 0.0, False)]
