@@ -2,8 +2,9 @@
 
 Both sides keep the least of every `WINDOW` successive k-gram hashes, with k + WINDOW - 1 = the span that must not be
 missed, so any shared span of that many words has a fingerprint in common. Documents whose fingerprints meet those of an
-item are opened up into words, each meeting place gives an alignment of document and item, and equal words along it are
-extended to runs, compared as strings.
+item are opened up: a hit extends to every window of the span that the document shares with an item, and successive
+windows to runs. Windows are compared by two 64-bit names, once for each different window of an item, so that repeated
+words cost no more than others.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ SPAN = 10
 GRAM = 8
 #: Rows of (hash, ...) a join side may have to be broadcast; counted before each join, which is a sorted one beyond it.
 BROADCAST_ROWS = 500_000
+#: Two independent names of a row's id and text.
+KEY = ("row_key", "row_key2")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -51,9 +54,9 @@ def _sliding(df: DataFrame, source: str, name: str, width: int, merge) -> DataFr
     return done
 
 
-def grams(df: DataFrame, length: int, name: str) -> DataFrame:
-    """Add hashes of all `length`-word sequences of the column `words`."""
-    hashed = df.withColumn("_h", F.transform("words", lambda w: F.xxhash64(w)))
+def grams(df: DataFrame, length: int, name: str, seed: int = 0) -> DataFrame:
+    """Add hashes of all `length`-word sequences of the column `words`; another seed gives independent ones."""
+    hashed = df.withColumn("_h", F.transform("words", lambda w: F.xxhash64(F.lit(seed), w) if seed else F.xxhash64(w)))
     # The merge tells (a, b) from (b, a); overlapping halves are fine, as they name the same words on both sides.
     return _sliding(hashed, "_h", name, length, lambda a, b: F.xxhash64(a, b)).drop("_h")
 
@@ -73,20 +76,27 @@ def _small(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
 
 
+def _windows(df: DataFrame, length: int, *keys: str) -> DataFrame:
+    """(keys, p, one, two): place and both names of every window of `length` words."""
+    both = grams(grams(df.filter(F.size("words") >= length), length, "_g"), length, "_g2", seed=1)
+    whole = F.slice(F.arrays_zip("_g", "_g2"), 1, F.size("words") - length + 1)  # beyond, windows are cut off
+    return both.select(*keys, F.posexplode_outer(whole).alias("p", "_w")).select(*keys, "p", F.col("_w._g").alias("one"), F.col("_w._g2").alias("two"))
+
+
 def _candidates(docs: DataFrame, items: DataFrame, span: int, gram: int) -> DataFrame:
-    """(row_key, gram_words, print): fingerprints that a document shares with any item.
+    """(row_key, row_key2, gram_words, print): fingerprints that a document shares with any item.
 
     Items below `span` words are looked for as a whole: for each of the at most span - 1 lengths that occur, all
     sequences of that length are compared.
     """
     whole = items.filter(F.size("words") >= span)
     item_prints = [winnowed(whole, gram, span - gram + 1).select(F.lit(gram).alias("gram_words"), F.explode_outer("prints").alias("print"))]
-    doc_prints = [winnowed(docs, gram, span - gram + 1).select("row_key", F.lit(gram).alias("gram_words"), F.explode_outer("prints").alias("print"))]
+    doc_prints = [winnowed(docs, gram, span - gram + 1).select(*KEY, F.lit(gram).alias("gram_words"), F.explode_outer("prints").alias("print"))]
     lengths = sorted(r[0] for r in items.select(F.size("words")).distinct().filter(F.size("words").between(1, span - 1)).collect())
     for n in lengths:
         short = grams(items.filter(F.size("words") == n), n, "_g")
         item_prints.append(short.select(F.lit(n).alias("gram_words"), F.element_at("_g", 1).alias("print")))
-        doc_prints.append(grams(docs.filter(F.size("words") >= n), n, "_g").select("row_key", F.lit(n).alias("gram_words"), F.explode_outer(F.array_distinct("_g")).alias("print")))
+        doc_prints.append(grams(docs.filter(F.size("words") >= n), n, "_g").select(*KEY, F.lit(n).alias("gram_words"), F.explode_outer(F.array_distinct("_g")).alias("print")))
     wanted, found = item_prints[0], doc_prints[0]
     for more_items, more_docs in zip(item_prints[1:], doc_prints[1:], strict=True):
         wanted, found = wanted.unionByName(more_items), found.unionByName(more_docs)
@@ -101,45 +111,42 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     sorted distinct ids of items that occur. Null and empty texts have no words, items without words never occur, null
     item ids are not reported (their words are still hit), repeated item ids count once, repeated rows are judged alike.
     """
-    keyed = texts(docs)
+    keyed = texts(docs).withColumn("row_key2", F.xxhash64(F.lit(1), "doc_id", "text"))
     spread = items.select(F.col("item_id"), words(F.col("text")).alias("words")).withColumn("item", F.xxhash64("item_id", "words"))
     spread = phase(spread.filter(F.size("words") > 0).dropDuplicates(["item", "words"]), "decontaminate-words")
-    split = keyed.select("row_key", words(F.col("text")).alias("words"))
-    hits = phase(_candidates(split, spread, span, gram).select("row_key", "gram_words").distinct(), "decontaminate-hits")
+    split = keyed.select(*KEY, words(F.col("text")).alias("words"))
+    hits = phase(_candidates(split, spread, span, gram).select(*KEY, "gram_words").distinct(), "decontaminate-hits")
 
-    suspects = keyed.select("row_key", "text").join(_small(hits.select("row_key").distinct()), "row_key", "left_semi").dropDuplicates(["row_key"])
+    suspects = keyed.select(*KEY, "text").join(_small(hits.select(*KEY).distinct()), list(KEY), "left_semi").dropDuplicates(list(KEY))
     suspects = phase(suspects, "decontaminate-suspects").withColumn("words", words(F.col("text"))).drop("text")
-    lengths = sorted({r[0] for r in hits.select("gram_words").distinct().collect()} | {gram})
-    meets = None
-    for n in lengths:
-        # An item below the span can have as many words as a gram; it's then looked for with the long ones.
-        sought = F.size("words") == n
-        mine = grams(spread.filter(sought | (F.size("words") >= span) if n == gram else sought), n, "_g")
-        mine = mine.select("item", F.posexplode_outer("_g").alias("q", "print"))
-        theirs = grams(suspects, n, "_g").select("row_key", F.posexplode_outer("_g").alias("p", "print"))
-        own = theirs.join(mine, "print").select("row_key", "item", (F.col("p") - F.col("q")).alias("shift"))
-        meets = own if meets is None else meets.unionByName(own)
-    meets = meets.distinct()
-
-    item_words = spread.select("item", F.size("words").alias("item_size"), F.posexplode_outer("words").alias("q", "word"))
-    doc_words = suspects.select("row_key", F.posexplode_outer("words").alias("p", "word"))
-    aligned = meets.join(item_words, "item").withColumn("p", F.col("shift") + F.col("q"))
-    equal = aligned.join(doc_words, ["row_key", "p", "word"]).select("row_key", "item", "shift", "p", "item_size")
-    line = Window.partitionBy("row_key", "item", "shift")
-    runs = equal.withColumn("run", F.col("p") - F.row_number().over(line.orderBy("p")))
-    runs = runs.withColumn("run_words", F.count(F.lit(1)).over(Window.partitionBy("row_key", "item", "shift", "run")))
-    covered = phase(runs.filter(F.col("run_words") >= F.least(F.lit(span), F.col("item_size"))).select("row_key", "item", "p").distinct(), "decontaminate-covered")
-
+    lengths = sorted({r[0] for r in hits.select("gram_words").distinct().collect() if r[0] < span} | {span})
     names = spread.select("item", F.col("item_id").cast("string").alias("name"))
-    n_hit = covered.groupBy("row_key", "p").agg(F.lit(1)).groupBy("row_key").agg(F.count(F.lit(1)).alias("n_hit"))
-    occurring = covered.select("row_key", "item").distinct().join(names, "item").select("row_key", "name").distinct()
-    occurring = occurring.groupBy("row_key").agg(F.sort_array(F.collect_list("name")).alias("items"))
-    found = phase(n_hit.join(occurring, "row_key"), "decontaminate-found")
-    every = keyed.select("doc_id", "row_key", n_words(F.col("text")).alias("n_words")).join(_small(found), "row_key", "left")
+    starts = held = None
+    for n in lengths:
+        own = _windows(spread.filter(F.size("words") >= span if n == span else F.size("words") == n), n, "item")
+        own = own.withColumn("length", F.lit(n))
+        theirs = _windows(suspects, n, *KEY).withColumn("length", F.lit(n))
+        held = own if held is None else held.unionByName(own)
+        starts = theirs if starts is None else starts.unionByName(theirs)
+    window = ["length", "one", "two"]
+    held = phase(held.select("item", *window).distinct(), "decontaminate-windows")
+    met = phase(starts.join(_small(held.select(*window).distinct()), window, "left_semi"), "decontaminate-met")
+
+    # Words covered by windows that overlap: each adds what lies beyond the end of those before it.
+    before = Window.partitionBy(*KEY).orderBy("p", "length").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("p") + F.col("length")
+    reached = F.coalesce(F.max(end).over(before), F.lit(0))
+    fresh = met.withColumn("fresh", F.greatest(end - F.greatest(reached, F.col("p")), F.lit(0)))
+    n_hit = fresh.groupBy(*KEY).agg(F.sum("fresh").alias("n_hit"))
+    occurring = met.select(*KEY, *window).distinct().join(held, window).select(*KEY, "item").distinct()
+    occurring = occurring.join(names, "item").select(*KEY, "name").distinct()
+    occurring = occurring.groupBy(*KEY).agg(F.sort_array(F.collect_list("name")).alias("items"))
+    found = phase(n_hit.join(occurring, list(KEY)), "decontaminate-found")
+    every = keyed.select("doc_id", *KEY, n_words(F.col("text")).alias("n_words")).join(_small(found), list(KEY), "left")
     none = F.array().cast("array<string>")
     return every.select(
         "doc_id",
-        "row_key",
+        *KEY,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
@@ -149,9 +156,10 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, without any hit word."""
-    bad = phase(contamination(docs, items).filter(F.col("n_hit") > 0).select("row_key").distinct(), "decontaminate-bad")
-    keyed = docs.select(F.struct(*map(F.col, docs.columns)).alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
-    return keyed.join(_small(bad), "row_key", "left_anti").select("row.*")
+    bad = phase(contamination(docs, items).filter(F.col("n_hit") > 0).select(*KEY).distinct(), "decontaminate-bad")
+    one, two = F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "doc_id", "text")
+    keyed = docs.select(F.struct(*map(F.col, docs.columns)).alias("row"), one.alias(KEY[0]), two.alias(KEY[1]))
+    return keyed.join(_small(bad), list(KEY), "left_anti").select("row.*")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,3 +224,11 @@ def test_turn_order(spark):
     rows = [(c, t, role, "x") for c, names in orders.items() for t, role in enumerate(names.split())]
     out = chat.read_back(chat.format_segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
     assert {r.conv_id for r in out.collect() if r.valid} == {1, 2, 7}
+
+
+def test_contamination_of_repeated_words(spark, docs):  # noqa: F811
+    """Work doesn't grow with the product of both lengths: one word a thousand times against four thousand and a megabyte."""
+    items = spark.createDataFrame([(1, "la " * 1000), (2, "la " * 9), (3, "la di " * 200)], "item_id long, text string")
+    rows = [(1, "la " * 4000), (2, "a b " + "la " * 350_000), (3, "la " * 9 + "x"), (4, "la di " * 20_000), (5, "la " * 8)]
+    got = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in decontaminate.contamination(docs(rows), items).collect()}
+    assert got == {1: (4000, 4000, ["1", "2"]), 2: (350_002, 350_000, ["1", "2"]), 3: (10, 9, ["2"]), 4: (40_000, 40_000, ["3"]), 5: (8, 0, [])}
