@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilnwatt.llm.common import phase
+from kilnwatt.llm.decontaminate import _small
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -14,16 +15,19 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     `edges` has long columns a and b. Rounds alternate between hanging a node's greater neighbours and its smaller ones
     on its least neighbour; stars are left after a number of rounds that grows with the logarithm of the longest chain.
     Each round only aggregates by node and joins the minimum back, so a node with any number of neighbours is never one
-    row or one group's list.
+    row or one group's list. The minima are written first: they are broadcast while few, and beyond that nothing stands
+    between the join and its exchanges, so that the adaptive skew join can split a hub's rows.
     """
     now = phase(_directed(edges), f"{label}-edges")
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = _small(phase(least, f"{label}-least"))
         larger = _directed(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         larger = phase(larger, f"{label}-large")
         lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
-        joined = larger.join(lowest, "a")
+        lowest = phase(lowest, f"{label}-lowest")
+        joined = larger.join(_small(lowest), "a")
         smaller = joined.select("b", "m").unionByName(lowest.select(F.col("a").alias("b"), "m"))
         following = phase(_directed(smaller.select(F.col("b").alias("a"), F.col("m").alias("b"))), f"{label}-small")
         if _same(now, following):
