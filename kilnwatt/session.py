@@ -79,7 +79,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that `materialise` returned and that nothing will read any more."""
+    spark = table.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(table._scratch)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_materialised(spark: SparkSession) -> int:
