@@ -22,6 +22,7 @@ from kilnwatt.llm.anchors import PART, Tokens, U, _encoded, _mixed, order_id
 from kilnwatt.llm.common import lean, phase, row_key, table
 from kilnwatt.llm.decontaminate import _small
 from kilnwatt.llm.graph import components
+from kilnwatt.session import discard
 
 #: Words of a shingle, and links have 100 x intersection >= PERCENT x union, unless a caller asks for others.
 SHINGLE = 3
@@ -34,6 +35,10 @@ DIVISIONS = 4
 SIGNATURES = 2_000_000
 #: Members of a region that one task compares at once.
 REGION = 800
+#: Bytes of their shingles a task compares at once.
+REGION_BYTES = 16_000_000
+#: Blocks of a large region that a task compares with as many others.
+TILE = 4
 PIVOTS = 8
 DEPTH = 3
 
@@ -241,6 +246,48 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
         label = least
 
 
+def connected(blocks: list[tuple[int, list[np.ndarray]]], percent: int = PERCENT) -> np.ndarray:
+    """For each set, counted through all blocks, the least number of one it is connected with by links between two blocks
+    that are of different parts, or of any two if all are of one part.
+
+    Sets known to be connected needn't be compared: of two blocks, only sets outside their largest component are, with all.
+    """
+    sets = [s for _, own in blocks for s in own]
+    size = np.array([len(s) for s in sets])
+    ends = np.cumsum([len(own) for _, own in blocks])
+    places = [np.arange(end - len(own), end) for end, (_, own) in zip(ends, blocks, strict=True)]
+    label = np.arange(len(sets))
+    one_part = len({part for part, _ in blocks}) == 1
+    for j in range(len(blocks)):
+        for i in range(j) if len(blocks) > 1 else [j]:
+            if not one_part and blocks[i][0] == blocks[j][0]:
+                continue
+            rows = np.unique(np.concatenate([places[i], places[j]]))
+            names, count = np.unique(label[rows], return_counts=True)
+            outside = rows[label[rows] != names[count.argmax()]]
+            if not len(outside):
+                continue
+            if 2 * len(outside) > len(rows):  # one count for both sides
+                common = shared_counts([sets[r] for r in rows])[np.isin(rows, outside)]
+            else:
+                common = shared_counts([sets[r] for r in outside], [sets[r] for r in rows])
+            near = common * 100 >= percent * (size[outside][:, None] + size[rows][None, :] - common)
+            x, y = np.nonzero(near)
+            x, y = label[outside[x]], label[rows[y]]
+            merged = np.arange(len(sets))
+            while True:
+                least = np.minimum(merged[x], merged[y])
+                following = merged.copy()
+                np.minimum.at(following, x, least)
+                np.minimum.at(following, y, least)
+                following = following[following]
+                if (following == merged).all():
+                    break
+                merged = following
+            label = merged[label]
+    return label
+
+
 def _split(rows: DataFrame, big: DataFrame, percent: int) -> DataFrame:
     """One round of Voronoi regions: (region, part, set_key, shingles) for the members of `big` regions."""
     order = Window.partitionBy("region").orderBy(F.xxhash64("set_key", "region"), "set_key")
@@ -281,41 +328,92 @@ def _links(rows: DataFrame, percent: int) -> DataFrame:
         useful = big.join(cost, "region").filter(F.col("c") < 0.7 * F.col("n") * F.col("n")).select("region")
         useful = phase(useful, "jaccard-useful")
         if not useful.limit(1).count():
+            discard(parts)
             break
         stay = rows.join(_small(useful), "region", "left_anti")
         moved = parts.join(_small(useful), "region", "left_semi").select(F.xxhash64("region", "part").alias("region"), "set_key", "shingles")
         rows = phase(stay.select("region", "set_key", "shingles").unionByName(moved), "jaccard-rows")
-    counts = phase(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "jaccard-counts")
-    counts = counts.withColumn("blocks", F.ceil(2 * F.col("n") / REGION).cast("int"))
-    cut = rows.join(_small(counts.filter(F.col("n") > REGION).select("region", "blocks")), "region", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
-    cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    # A pair of one block with itself is part of the pairs with any other one.
-    cut = cut.filter((F.col("blocks") == 1) | (F.col("own") != F.col("other")))
-    tasks = cut.select(F.xxhash64("region", low, high).alias("task"), "set_key", "shingles")
-    dealt = tasks.repartition("task").sortWithinPartitions("task", "set_key")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        discard(parts)
+    counts = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles")).alias("bytes"))
+    counts = phase(counts.filter((F.col("n") > REGION) | (F.col("bytes") > REGION_BYTES)), "jaccard-counts")
+    blocks = F.greatest(F.ceil(2 * F.col("n") / REGION), F.ceil(2 * F.col("bytes") / REGION_BYTES), F.lit(2)).cast("int")
+    cut = rows.join(_small(counts.select("region", blocks.alias("blocks"))), "region", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+    return _compared(cut, percent)
+
+
+BLOCK = "region long, blocks int, own int, keys binary, lengths binary, shingles binary, size long"
+
+
+def _compared(cut: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links within each region of one block, and within each two tiles of blocks of a larger one.
+
+    A block becomes one compressed row before it is sent to the tasks of its tile: sets of a family have most shingles in
+    common, so this is a fraction of their bytes. Within a task, sets already connected aren't compared with each other.
+    """
+
+    def edges(keys: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        label = linked(sets, percent)
+        other = np.flatnonzero(label != np.arange(len(label)))
+        return pa.record_batch([pa.array(keys[other]), pa.array(keys[label[other]])], names=["a", "b"])
+
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray, list[np.ndarray]]]:
+        now, keys, sets = None, [], []
+        for batch in batches:
+            for region, n, own, k, s in zip(*(batch.column(c).to_pylist() for c in ("region", "blocks", "own", "set_key", "shingles")), strict=True):
+                if (region, n, own) != now:
+                    if keys:
+                        yield now, np.array(keys, dtype=np.int64), sets
+                    now, keys, sets = (region, n, own), [], []
+                keys.append(k)
+                sets.append(np.frombuffer(s, dtype=U))
+        if keys:
+            yield now, np.array(keys, dtype=np.int64), sets
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, keys, sets in blocks_of(batches):
+            if len(keys) > 1:
+                yield edges(keys, sets)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for (region, n, own), keys, sets in blocks_of(batches):
+            raw = np.concatenate(sets).tobytes()
+            lengths = np.array([len(x) for x in sets], dtype=np.int32).tobytes()
+            columns = [[region], [n], [own], [keys.tobytes()], [lengths], [codec.compress(raw, asbytes=True)], [len(raw)]]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["region", "blocks", "own", "keys", "lengths", "shingles", "size"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, task, tile = pa.Codec("zstd"), None, []
+
         def done() -> pa.RecordBatch:
-            label = linked(sets, percent)
+            label = connected([(part, sets) for part, _, _, sets in sorted(tile, key=lambda x: x[:2])], percent)
+            keys = np.concatenate([k for _, _, k, _ in sorted(tile, key=lambda x: x[:2])])
             other = np.flatnonzero(label != np.arange(len(label)))
-            name = np.array(keys, dtype=np.int64)
-            return pa.record_batch([pa.array(name[other]), pa.array(name[label[other]])], names=["a", "b"])
+            return pa.record_batch([pa.array(keys[other]), pa.array(keys[label[other]])], names=["a", "b"])
 
-        task, keys, sets = None, [], []
         for batch in batches:
-            for t, k, s in zip(*(batch.column(n).to_pylist() for n in ("task", "set_key", "shingles")), strict=True):
+            for t, part, own, k, lengths, packed, size in zip(*(batch.column(c).to_pylist() for c in ("task", "part", "own", "keys", "lengths", "shingles", "size")), strict=True):
                 if t != task:
-                    if len(keys) > 1:
+                    if tile:
                         yield done()
-                    task, keys, sets = t, [], []
-                keys.append(k)
-                sets.append(np.frombuffer(s, dtype=U))
-        if len(keys) > 1:
+                    task, tile = t, []
+                raw = np.frombuffer(codec.decompress(packed, size, asbytes=True), dtype=U)
+                tile.append((part, own, np.frombuffer(k, dtype=np.int64), np.split(raw, np.cumsum(np.frombuffer(lengths, dtype=np.int32))[:-1])))
+        if tile:
             yield done()
 
-    return dealt.mapInArrow(lean(compare), "a long, b long").distinct()
+    columns = ("region", "blocks", "own", "set_key", "shingles")
+    small = cut.filter("blocks = 1").select(*columns).repartition("region").sortWithinPartitions("region", "set_key")
+    dealt = cut.filter("blocks > 1").select(*columns).repartition("region", "own").sortWithinPartitions("region", "own", "set_key")
+    packed = phase(dealt.mapInArrow(lean(pack), BLOCK), "jaccard-blocks")
+    part, parts = F.floor(F.col("own") / TILE).cast("int"), F.ceil(F.col("blocks") / TILE).cast("int")
+    spread = packed.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    task = F.xxhash64("region", F.least("part", "other"), F.greatest("part", "other"))
+    spread = spread.select(task.alias("task"), "part", "own", "keys", "lengths", "shingles", "size").repartition("task").sortWithinPartitions("task")
+    few = small.mapInArrow(lean(single), "a long, b long")
+    return few.unionByName(spread.mapInArrow(lean(pairs), "a long, b long")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -179,3 +179,30 @@ def test_hashes_are_those_of_the_words():
     words = [text[s:e] for s, e in zip(start, end, strict=True)]
     assert words == text.split() and len(Counter(hashes.tolist())) == len(set(words))
     assert hashlib.sha256(hashes[:4].tobytes()).digest() == hashlib.sha256(hashes[4:8].tobytes()).digest()
+
+
+def test_connected_across_tiles():
+    """Links found in tasks of one tile and of two tiles connect the same sets as all pairs do."""
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        base = [np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64)) for _ in range(3)]
+
+        def varied(b):
+            b, k = b.copy(), rng.integers(0, 7)  # noqa: B023
+            b[rng.integers(0, len(b), k)] = rng.integers(0, 2**63, k, dtype=np.uint64)
+            return np.unique(b)
+
+        sets = [varied(base[rng.integers(3)]) for _ in range(40)]
+        cuts = [0, *sorted(rng.choice(np.arange(1, 40), 4, replace=False).tolist()), 40]
+        own, parts = [sets[a:b] for a, b in zip(cuts, cuts[1:])], [0, 0, 0, 1, 1]
+        label = np.arange(40)
+        edges = []
+        for task in ((0,), (1,), (0, 1)):
+            of = [i for i in range(5) if parts[i] in task]
+            names = np.concatenate([np.arange(cuts[i], cuts[i + 1]) for i in of])
+            found = jaccard.connected([(parts[i], own[i]) for i in of], 80)
+            edges += [(names[k], names[found[k]]) for k in range(len(names))]
+        for _ in range(40):
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        assert (label == jaccard.linked(sets, 80)).all()
