@@ -39,6 +39,33 @@ def repeated_bytes(rows, width):
     return out
 
 
+def cut_texts(rows, width):
+    """Rows (id, text) after what an earlier row has is cut, by whole characters; a row of which only blanks are left goes."""
+    ids = [NULL_ID if i is None else i for i, _ in rows]
+    texts = [(t or "").encode() for _, t in rows]
+    first = {}
+    for i, b in zip(ids, texts, strict=True):
+        for j in range(len(b) - width + 1):
+            first[b[j : j + width]] = min(i, first.get(b[j : j + width], NULL_ID))
+    out = []
+    for (doc_id, t), i, b in zip(rows, ids, texts, strict=True):
+        gone = bytearray(len(b))
+        for j in range(len(b) - width + 1):
+            if first[b[j : j + width]] < i:
+                gone[j : j + width] = b"\1" * width
+        kept, at = [], 0
+        for c in t or "":
+            n = len(c.encode())
+            if not any(gone[at : at + n]):
+                kept.append(c)
+            at += n
+        if not any(gone):
+            out.append((doc_id, t))
+        elif "".join(kept).strip():
+            out.append((doc_id, "".join(kept)))
+    return out
+
+
 def jaccard_groups(rows):
     sets = []
     for _, t in rows:

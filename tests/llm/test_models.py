@@ -123,15 +123,14 @@ def test_pipeline_stages(spark, docs, odd_rows):  # noqa: F811
     df = docs(odd_rows)
     near = corpus_pipeline.keep_one_of_near(spark, df, SF_DIR)
     assert near.columns == df.columns
-    from llm_brute import jaccard_groups, repeated_bytes
+    from llm_brute import cut_texts, jaccard_groups
 
     want = {(i, t) for (i, t), (_, _, c) in zip(odd_rows, jaccard_groups(odd_rows), strict=True) if c is None or i == c}
     assert {(r.doc_id, r.text) for r in near.collect()} == want and near.count() == len(want)
     cut = corpus_pipeline.cut_repeated(spark, near, SF_DIR)
     assert cut.columns == df.columns
-    kept = list(want)
-    gone = {(i, t) for (i, t), r in zip(kept, repeated_bytes(kept, 50), strict=True) if r[2]}
-    assert {(r.doc_id, r.text) for r in cut.collect()} >= {x for x in want if x not in gone}
+    assert in_order((r.doc_id, r.text) for r in cut.collect()) == in_order(cut_texts(list(want), 50))
+    assert all(r.n_chars == len(r.text) for r in cut.collect() if r.text is not None)
 
 
 def test_pipeline_near_stage(spark, docs, odd_rows):  # noqa: F811
