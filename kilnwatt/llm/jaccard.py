@@ -289,7 +289,7 @@ def connected(blocks: list[tuple[int, list[np.ndarray]]], percent: int = PERCENT
 
 
 def _split(rows: DataFrame, big: DataFrame, percent: int) -> DataFrame:
-    """One round of Voronoi regions: (region, part, set_key, shingles) for the members of `big` regions."""
+    """One round of Voronoi regions: (region, part, set_key) for the members of `big` regions."""
     order = Window.partitionBy("region").orderBy(F.xxhash64("set_key", "region"), "set_key")
     pivots = rows.join(_small(big), "region", "left_semi").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= PIVOTS)
     pivots = phase(pivots.groupBy(F.col("region").alias("_region")).agg(F.collect_list("shingles").alias("pivots")), "jaccard-pivots")
@@ -307,12 +307,12 @@ def _split(rows: DataFrame, big: DataFrame, percent: int) -> DataFrame:
                 far = (union - common) / union
                 # Two radii, with room for rounding: a linked text's nearest pivot is at most that much further.
                 close = far <= far.min(axis=1, keepdims=True) + 2 * (1 - percent / 100) + 1e-9
-                out += [(region, int(p), keys[own[i]], sets[own[i]]) for i, p in zip(*np.nonzero(close), strict=True)]
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary()], strict=True)], names=["region", "part", "set_key", "shingles"])
+                out += [(region, int(p), keys[own[i]]) for i, p in zip(*np.nonzero(close), strict=True)]
+            columns = zip(*out, strict=True) if out else [[]] * 3
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int32(), pa.int64()], strict=True)], names=["region", "part", "set_key"])
 
     spread = rows.join(_small(pivots, 50), F.col("region") == F.col("_region")).select("region", "set_key", "shingles", "pivots")
-    return spread.mapInArrow(lean(deal), "region long, part int, set_key long, shingles binary")
+    return spread.mapInArrow(lean(deal), "region long, part int, set_key long")
 
 
 def _links(rows: DataFrame, percent: int) -> DataFrame:
@@ -331,7 +331,9 @@ def _links(rows: DataFrame, percent: int) -> DataFrame:
             discard(parts)
             break
         stay = rows.join(_small(useful), "region", "left_anti")
-        moved = parts.join(_small(useful), "region", "left_semi").select(F.xxhash64("region", "part").alias("region"), "set_key", "shingles")
+        # Shingles are sent to the parts of the regions that are split, and of no others.
+        moved = rows.join(parts.join(_small(useful), "region", "left_semi"), ["region", "set_key"])
+        moved = moved.select(F.xxhash64("region", "part").alias("region"), "set_key", "shingles")
         rows = phase(stay.select("region", "set_key", "shingles").unionByName(moved), "jaccard-rows")
         discard(parts)
     counts = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles")).alias("bytes"))
