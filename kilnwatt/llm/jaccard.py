@@ -6,7 +6,8 @@ space: two sets within the radius differ in at most D shingles, so of more than
 set's shingles they agree exactly in one, and a set belongs to the region of each share with its own content. Regions that have a member in common form a family;
 no link leaves a family. Families beyond a size are split by pivot documents into Voronoi regions, a document also going
 to each region whose pivot is at most two radii further than its nearest, again and again while that helps; what stays
-large is cut into blocks, and every pair of blocks is compared. All comparisons count shared shingles exactly.
+large is cut into blocks by size, and every two blocks whose sizes allow a link are compared. All comparisons count
+shared shingles exactly.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ REGION = 800
 REGION_BYTES = 16_000_000
 #: Blocks of a large region that a task compares with as many others.
 TILE = 4
+#: A shingle is counted pair by pair of its sets if these are this many times fewer than all pairs; pairs at once.
+RARE, PAIRS = 300, 2_000_000
 PIVOTS = 8
 DEPTH = 3
 
@@ -208,27 +211,57 @@ def _members(docs: DataFrame, meta: DataFrame, wanted: DataFrame, shingle: int)
     return rows.select("text", "_set").mapInArrow(lean(read), "set_key long, shingles binary").dropDuplicates(["set_key"])
 
 
+class Inverted:
+    """The distinct shingles of some sets, ascending, and for each the numbers of the sets that have it."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        flat = np.concatenate(sets) if sets else np.zeros(0, dtype=U)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        self.begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])[: len(flat)])
+        self.shingles = flat[self.begin]
+        self.times = np.diff(self.begin, append=len(flat))
+        self.rows = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])[order]
+        self.sets = len(sets)
+
+    def entries(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set, place in `which`) for each set that has one of these shingles."""
+        times = self.times[which]
+        at = np.arange(times.sum()) + np.repeat(self.begin[which] - (np.cumsum(times) - times), times)
+        return self.rows[at], np.repeat(np.arange(len(which)), times)
+
+    def shared(self, other: Inverted) -> np.ndarray:
+        """Sizes of the intersections of each own set with each of `other`: shingles of few sets are counted pair by pair of
+        sets that have them, the others by products of blocks of 0 and 1."""
+        out = np.zeros(self.sets * other.sets, dtype=np.int64)
+        if not len(self.shingles) or not len(other.shingles):
+            return out.reshape(self.sets, other.sets)
+        place = np.minimum(np.searchsorted(self.shingles, other.shingles), len(self.shingles) - 1)
+        there = np.flatnonzero(self.shingles[place] == other.shingles)
+        here = place[there]
+        met = self.times[here] * other.times[there]
+        rare = met * RARE <= len(out)
+        for part in np.split(np.flatnonzero(rare), np.searchsorted(np.cumsum(met[rare]), np.arange(PAIRS, met[rare].sum(), PAIRS))):
+            row, column = self.entries(here[part])
+            times = other.times[there[part]][column]
+            at = np.arange(times.sum()) + np.repeat(other.begin[there[part]][column] - (np.cumsum(times) - times), times)
+            out += np.bincount(np.repeat(row.astype(np.int64) * other.sets, times) + other.rows[at], minlength=len(out))
+        out = out.reshape(self.sets, other.sets)
+        often = np.flatnonzero(~rare)
+        width = max(256, min(4096, 8_000_000 // max(1, self.sets + other.sets)))
+        for at in range(0, len(often), width):
+            part = often[at : at + width]
+            left, right = np.zeros((self.sets, len(part)), dtype=np.float32), np.zeros((other.sets, len(part)), dtype=np.float32)
+            left[self.entries(here[part])] = 1
+            right[other.entries(there[part])] = 1
+            out += (left @ right.T).astype(np.int64)
+        return out
+
+
 def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
     """Sizes of the intersections of each two sets, or of each set with each of `others`."""
-    every = [*sets, *(others or [])]
-    flat = np.concatenate(every)
-    row = np.repeat(np.arange(len(every)), [len(s) for s in every])
-    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
-    often = times > 1  # a shingle of one set is in no intersection
-    number = np.cumsum(often) - 1
-    kept = often[column]
-    row, column = row[kept], number[column[kept]]
-    left, right = len(sets), slice(len(sets), None) if others is not None else slice(None)
-    out = np.zeros((left, len(others) if others is not None else left), dtype=np.float64)
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    width = max(256, min(4096, 8_000_000 // max(1, len(every))))
-    for at in range(0, int(often.sum()), width):
-        a, b = np.searchsorted(column, [at, at + width])
-        block = np.zeros((len(every), width), dtype=np.float32)
-        block[row[a:b], column[a:b] - at] = 1
-        out += block[:left] @ block[right].T
-    return out.astype(np.int64)
+    one = Inverted(sets)
+    return one.shared(one if others is None else Inverted(others))
 
 
 def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -248,43 +281,58 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
 
 def connected(blocks: list[tuple[int, list[np.ndarray]]], percent: int = PERCENT) -> np.ndarray:
     """For each set, counted through all blocks, the least number of one it is connected with by links between two blocks
-    that are of different parts, or of any two if all are of one part.
+    that are of different parts, or of any two, also within a block, if all are of one part.
 
-    Sets known to be connected needn't be compared: of two blocks, only sets outside their largest component are, with all.
+    Blocks whose sizes rule out a link aren't compared, and sets known to be connected needn't be: of two blocks, only
+    sets outside their largest component are, with all of the other.
     """
     sets = [s for _, own in blocks for s in own]
     size = np.array([len(s) for s in sets])
     ends = np.cumsum([len(own) for _, own in blocks])
     places = [np.arange(end - len(own), end) for end, (_, own) in zip(ends, blocks, strict=True)]
+    index: list[Inverted | None] = [None] * len(blocks)
     label = np.arange(len(sets))
     one_part = len({part for part, _ in blocks}) == 1
+
+    def inverted(block: int, rows: np.ndarray) -> Inverted:
+        if len(rows) < len(places[block]):
+            return Inverted([sets[r] for r in rows])
+        index[block] = index[block] or Inverted(blocks[block][1])
+        return index[block]
+
+    def compare(i: int, rows: np.ndarray, j: int, others: np.ndarray) -> None:
+        nonlocal label
+        if not len(rows) or not len(others):
+            return
+        common = inverted(i, rows).shared(inverted(j, others))
+        x, y = np.nonzero(common * 100 >= percent * (size[rows][:, None] + size[others][None, :] - common))
+        x, y = label[rows[x]], label[others[y]]
+        merged = np.arange(len(sets))
+        while True:
+            least = np.minimum(merged[x], merged[y])
+            following = merged.copy()
+            np.minimum.at(following, x, least)
+            np.minimum.at(following, y, least)
+            following = following[following]
+            if (following == merged).all():
+                break
+            merged = following
+        label = merged[label]
+
     for j in range(len(blocks)):
-        for i in range(j) if len(blocks) > 1 else [j]:
+        for i in range(j + 1) if one_part else range(j):
             if not one_part and blocks[i][0] == blocks[j][0]:
                 continue
-            rows = np.unique(np.concatenate([places[i], places[j]]))
-            names, count = np.unique(label[rows], return_counts=True)
-            outside = rows[label[rows] != names[count.argmax()]]
-            if not len(outside):
+            a, b = size[places[i]], size[places[j]]
+            if a.max() * 100 < percent * b.min() or b.max() * 100 < percent * a.min():
                 continue
-            if 2 * len(outside) > len(rows):  # one count for both sides
-                common = shared_counts([sets[r] for r in rows])[np.isin(rows, outside)]
-            else:
-                common = shared_counts([sets[r] for r in outside], [sets[r] for r in rows])
-            near = common * 100 >= percent * (size[outside][:, None] + size[rows][None, :] - common)
-            x, y = np.nonzero(near)
-            x, y = label[outside[x]], label[rows[y]]
-            merged = np.arange(len(sets))
-            while True:
-                least = np.minimum(merged[x], merged[y])
-                following = merged.copy()
-                np.minimum.at(following, x, least)
-                np.minimum.at(following, y, least)
-                following = following[following]
-                if (following == merged).all():
-                    break
-                merged = following
-            label = merged[label]
+            names, count = np.unique(label[np.concatenate([places[i], places[j]])], return_counts=True)
+            main = names[count.argmax()]
+            inside, outside = (places[i][label[places[i]] == main], places[i][label[places[i]] != main])
+            far = places[j][label[places[j]] != main]
+            compare(i, outside, j, places[j])
+            if i != j:
+                compare(i, inside, j, far)
     return label
 
 
@@ -337,18 +385,42 @@ def _links(rows: DataFrame, percent: int) -> DataFrame:
         rows = phase(stay.select("region", "set_key", "shingles").unionByName(moved), "jaccard-rows")
         discard(parts)
     counts = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles")).alias("bytes"))
-    counts = phase(counts.filter((F.col("n") > REGION) | (F.col("bytes") > REGION_BYTES)), "jaccard-counts")
-    blocks = F.greatest(F.ceil(2 * F.col("n") / REGION), F.ceil(2 * F.col("bytes") / REGION_BYTES), F.lit(2)).cast("int")
-    cut = rows.join(_small(counts.select("region", blocks.alias("blocks"))), "region", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
-    return _compared(cut, percent)
+    large = _small(phase(counts.filter((F.col("n") > REGION) | (F.col("bytes") > REGION_BYTES)).select("region"), "jaccard-counts"))
+    return _compared(rows.join(large, "region", "left_anti"), _blocks(rows.join(large, "region", "left_semi")), percent)
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Add `own`, the number of a block within the region. Blocks follow the size of the sets and are of bounded count and
+    bytes; sets of one size are dealt to as many as they need."""
+    sized = rows.withColumn("size", F.floor(F.length("shingles") / 8).cast("int"))
+    share = F.greatest(F.lit(2 / REGION), F.col("size") * (16 / REGION_BYTES))
+    sizes = sized.groupBy("region", "size").agg(F.count(F.lit(1)).alias("n")).withColumn("width", F.col("n") * share)
+    before = F.sum("width").over(Window.partitionBy("region").orderBy("size").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = phase(sizes.withColumn("before", F.coalesce(before, F.lit(0.0))), "jaccard-sizes")
+    within = F.pmod(F.xxhash64("set_key"), F.col("n")) / F.col("n") * F.col("width")
+    return sized.join(_small(sizes), ["region", "size"]).select("region", "set_key", "shingles", F.floor(F.col("before") + within).cast("int").alias("own"))
+
+
+def _tasks(packed: DataFrame, percent: int) -> DataFrame:
+    """(region, part, task): the parts, tiles of blocks, that each task has to compare: a part and one of sets at least as
+    large, as far as their sizes allow links. Sizes rise with the parts, so a part's partners are a range of parts."""
+    parts = packed.groupBy("region", "part").agg(F.min("least").alias("low"), F.max("most").alias("high"))
+    begins = parts.select("region", F.col("low").alias("at"), F.lit(0).alias("ends"), "part")
+    reach = F.floor(F.col("high") * 100 / percent).cast("int")
+    both = begins.unionByName(parts.select("region", reach.alias("at"), F.lit(1).alias("ends"), "part"))
+    so_far = Window.partitionBy("region").orderBy("at", "ends").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.max(F.when(F.col("ends") == 0, F.col("part"))).over(so_far)
+    ranges = both.withColumn("last", last).filter("ends = 1")
+    pairs = ranges.select("region", "part", F.explode(F.sequence("part", "last")).alias("other"))
+    pairs = pairs.withColumn("task", F.xxhash64("region", "part", "other"))
+    return pairs.select("region", "task", F.explode(F.array_distinct(F.array("part", "other"))).alias("part"))
 
 
-BLOCK = "region long, blocks int, own int, keys binary, lengths binary, shingles binary, size long"
+BLOCK = "region long, own int, keys binary, lengths binary, shingles binary, size long, least int, most int"
 
 
-def _compared(cut: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links within each region of one block, and within each two tiles of blocks of a larger one.
+def _compared(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links within each small region, and within each two tiles of blocks of a large one whose sizes allow links.
 
     A block becomes one compressed row before it is sent to the tasks of its tile: sets of a family have most shingles in
     common, so this is a fraction of their bytes. Within a task, sets already connected aren't compared with each other.
@@ -362,11 +434,11 @@ def _compared(cut: DataFrame, percent: int) -> DataFrame:
     def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray, list[np.ndarray]]]:
         now, keys, sets = None, [], []
         for batch in batches:
-            for region, n, own, k, s in zip(*(batch.column(c).to_pylist() for c in ("region", "blocks", "own", "set_key", "shingles")), strict=True):
-                if (region, n, own) != now:
+            for region, own, k, s in zip(*(batch.column(c).to_pylist() for c in ("region", "own", "set_key", "shingles")), strict=True):
+                if (region, own) != now:
                     if keys:
                         yield now, np.array(keys, dtype=np.int64), sets
-                    now, keys, sets = (region, n, own), [], []
+                    now, keys, sets = (region, own), [], []
                 keys.append(k)
                 sets.append(np.frombuffer(s, dtype=U))
         if keys:
@@ -379,12 +451,12 @@ def _compared(cut: DataFrame, percent: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
-        for (region, n, own), keys, sets in blocks_of(batches):
+        for (region, own), keys, sets in blocks_of(batches):
             raw = np.concatenate(sets).tobytes()
-            lengths = np.array([len(x) for x in sets], dtype=np.int32).tobytes()
-            columns = [[region], [n], [own], [keys.tobytes()], [lengths], [codec.compress(raw, asbytes=True)], [len(raw)]]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["region", "blocks", "own", "keys", "lengths", "shingles", "size"])
+            lengths = np.array([len(x) for x in sets], dtype=np.int32)
+            columns = [[region], [own], [keys.tobytes()], [lengths.tobytes()], [codec.compress(raw, asbytes=True)], [len(raw)], [lengths.min()], [lengths.max()]]
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["region", "own", "keys", "lengths", "shingles", "size", "least", "most"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, task, tile = pa.Codec("zstd"), None, []
@@ -406,16 +478,24 @@ def _compared(cut: DataFrame, percent: int) -> DataFrame:
         if tile:
             yield done()
 
-    columns = ("region", "blocks", "own", "set_key", "shingles")
-    small = cut.filter("blocks = 1").select(*columns).repartition("region").sortWithinPartitions("region", "set_key")
-    dealt = cut.filter("blocks > 1").select(*columns).repartition("region", "own").sortWithinPartitions("region", "own", "set_key")
-    packed = phase(dealt.mapInArrow(lean(pack), BLOCK), "jaccard-blocks")
-    part, parts = F.floor(F.col("own") / TILE).cast("int"), F.ceil(F.col("blocks") / TILE).cast("int")
-    spread = packed.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    task = F.xxhash64("region", F.least("part", "other"), F.greatest("part", "other"))
-    spread = spread.select(task.alias("task"), "part", "own", "keys", "lengths", "shingles", "size").repartition("task").sortWithinPartitions("task")
-    few = small.mapInArrow(lean(single), "a long, b long")
-    return few.unionByName(spread.mapInArrow(lean(pairs), "a long, b long")).distinct()
+    columns = ("region", "own", "set_key", "shingles")
+    alone = small.withColumn("own", F.lit(0)).select(*columns).repartition("region").sortWithinPartitions("region", "set_key")
+    dealt = large.select(*columns).repartition("region", "own").sortWithinPartitions("region", "own", "set_key")
+    packed = phase(dealt.mapInArrow(lean(pack), BLOCK), "jaccard-blocks").withColumn("part", F.floor(F.col("own") / TILE).cast("int"))
+    few = phase(alone.mapInArrow(lean(single), "a long, b long").distinct(), "jaccard-few")
+    sizes = packed.groupBy("region", "part").agg(F.sum(F.length("shingles")).alias("bytes"))
+    tasks = phase(_tasks(packed, percent).join(sizes, ["region", "part"]), "jaccard-tasks")
+    # A block goes to every task that needs it. In each round about as many bytes are sent as the blocks have, so the disks
+    # hold two copies of them at most, however many tasks a family has.
+    held, sent = (t.agg(F.sum("bytes")).first()[0] or 0 for t in (sizes, tasks))
+    found = few
+    rounds = -(-sent // held) if held else 0
+    for number in range(rounds):
+        now = tasks.filter(F.pmod(F.xxhash64("task"), F.lit(rounds)) == number).select("region", "part", "task")
+        spread = packed.join(_small(now), ["region", "part"]).select("task", "part", "own", "keys", "lengths", "shingles", "size")
+        spread = spread.repartition("task").sortWithinPartitions("task")
+        found = found.unionByName(phase(spread.mapInArrow(lean(pairs), "a long, b long").distinct(), "jaccard-pairs"))
+    return found.distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -432,9 +512,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     families = components(_bipartite(regions), "jaccard-families")
     named = families.join(regions.select("set_key").distinct(), F.col("node") == F.col("set_key")).select("set_key", F.col("root").alias("region"))
     named = phase(named, "jaccard-named")
+    discard(regions)
     members = _members(docs, meta, named.select("set_key"), shingle)
     rows = phase(members.join(named, "set_key").select("region", "set_key", "shingles"), "jaccard-members")
     groups = components(_links(rows, percent), "jaccard-links").select(F.col("node").alias("set_key"), "root")
+    discard(rows)
     filled = meta.filter("n_shingles > 0")
     sets = filled.groupBy("set_key", "set_key2").agg(F.min("id").alias("least")).join(groups, "set_key", "left")
     sets = phase(sets.withColumn("root", F.coalesce("root", "set_key")), "jaccard-sets")

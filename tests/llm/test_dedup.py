@@ -206,3 +206,40 @@ def test_connected_across_tiles():
             for a, b in edges:
                 label[a] = label[b] = min(label[a], label[b])
         assert (label == jaccard.linked(sets, 80)).all()
+
+
+def test_large_families_are_cut_by_size(spark, monkeypatch):
+    """Links within a region that is cut into blocks connect the same sets as all pairs of the region do."""
+    monkeypatch.setattr(jaccard, "REGION", 20)
+    monkeypatch.setattr(jaccard, "TILE", 2)
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (4, 10, 30, 32, 60, 200):
+        base = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for _ in range(30):
+            own, k = base.copy(), int(rng.integers(0, max(2, n // 6)))
+            own[rng.integers(0, len(own), k)] = rng.integers(0, 2**63, k, dtype=np.uint64)
+            sets.append(np.unique(own[int(rng.integers(0, max(1, n // 8))) :]))
+    sets += [np.arange(k, dtype=np.uint64) for k in range(1, 40)]  # a chain through all sizes
+    rows = [(i % 2, 2 * i + (i % 2), sets[i].tobytes()) for i in range(len(sets))]
+    links = jaccard._links(spark.createDataFrame(rows, "region long, set_key long, shingles binary"), 80).collect()
+    for half in (0, 1):
+        own = [i for i in range(len(sets)) if i % 2 == half]
+        want = jaccard.linked([sets[i] for i in own], 80)
+        parent = {2 * i + half: 2 * i + half for i in own}
+
+        def find(x):
+            while parent[x] != x:  # noqa: B023
+                x = parent[x]  # noqa: B023
+            return x
+
+        for a, b in links:
+            if a in parent:
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+        assert [find(2 * i + half) for i in own] == [2 * own[k] + half for k in want]
+        assert len(set(want)) > 3
+
+
+def test_pairs_of_empty_and_disjoint_sets_share_nothing():
+    none, some = np.zeros(0, dtype=np.uint64), np.arange(9, dtype=np.uint64)
+    assert jaccard.shared_counts([none, some], [some + np.uint64(5), none]).tolist() == [[0, 0], [4, 0]]
