@@ -121,54 +121,119 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
+class Parser:
+    """Turns of one formatted conversation, from its text alone: no flags, columns or lengths.
+
+    The text may be fed in pieces cut anywhere. A turn begins with an opening mark and ends at its closing mark; neither
+    occurs inside a text, which `Codec` sees to, nor across the end of a text, since no mark ends as it begins. At most
+    the turn that is still open is held.
+    """
+
+    def __init__(self, template: Template):
+        self._marks = sorted(((before, role) for role, before in template.opening.items()), key=lambda m: -len(m[0]))
+        self._template, self._codec = template, Codec(template)
+        self._left, self._role, self._close, self._seen = "", None, "", 0
+
+    def feed(self, text: str) -> Iterator[tuple[str, str]]:
+        """Role and text of each turn that ends within what has been fed so far."""
+        self._left += text
+        while self._left:
+            if self._role is None and not self._open():
+                return
+            at = self._left.find(self._close, self._seen)
+            if at < 0:
+                self._seen = max(0, len(self._left) - len(self._close) + 1)
+                return
+            turn = self._role, self._codec.read(self._left[:at])
+            self._left = self._left[at + len(self._close) :]
+            self._role, self._seen = None, 0
+            yield turn
+
+    def _open(self) -> bool:
+        """Whether an opening mark has come whole; it is taken off."""
+        for before, role in self._marks:
+            if self._left.startswith(before):
+                self._left, self._role, self._close = self._left[len(before) :], role, self._template.closing[role]
+                return True
+        named, end, close = self._template.other
+        if self._left.startswith(named):
+            at = self._left.find(end, len(named))
+            if at < 0:
+                return False
+            self._role, self._close = self._codec.read(self._left[len(named) : at]), close
+            self._left = self._left[at + len(end) :]
+            return True
+        if any(m.startswith(self._left) for m in [named, *(before for before, _ in self._marks)]):
+            return False
+        raise ValueError(f"no opening mark: {self._left[:40]!r}")
+
+    def end(self) -> None:
+        if self._left or self._role is not None:
+            raise ValueError(f"a turn without its closing mark: {self._left[:40]!r}")
+
+
+class Trained:
+    """Digest of the text under the loss mask: each run of masked text is unescaped by itself."""
+
+    def __init__(self, codec: Codec):
+        self._codec, self._run, self.chars, self.digest = codec, [], 0, hashlib.sha256()
+
+    def feed(self, text: str, loss: bool) -> None:
+        if loss:
+            self._run.append(text)
+        elif text:
+            self.end()
+
+    def end(self) -> None:
+        said = self._codec.read("".join(self._run))
+        self.digest.update(said.encode())
+        self.chars += len(said)
+        self._run = []
+
+
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
 
 
 def read_back(segments: DataFrame, template: Template | None = None) -> DataFrame:
-    """Recover role and text of every turn from formatted segments and digest them, one row per conversation.
+    """Parse the formatted text of every conversation by its marks and digest the turns, one row per conversation.
 
-    Only the marks, the escaped texts and the loss flags are used. `segments` may come in any order: it is partitioned
-    and sorted again, which costs nothing directly after `format_segments`.
+    Of `segments` only the text in its order and the loss mask over it are used: roles, ends of turns and the order of
+    roles (`valid`) come from the text. A text that doesn't parse is an error. `segments` may come in any order: it is
+    partitioned and sorted again, which costs nothing directly after `format_segments`.
     """
     template = template or Template()
-    roles = {before: role for role, before in template.opening.items()}
     order = segments.withColumn("_part", F.expr("case part when 'open' then 0 when 'text' then 1 else 2 end"))
-    ordered = order.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn_no", "_part").drop("_part")
+    ordered = order.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn_no", "_part").select("conv_id", "text", "loss")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(template)
         conv, seen = None, False
-        turns = loss = None
-        n = chars = trained = 0
-        valid = True
+        parser = trained = turns = None
+        n = chars = 0
+        state = "start"
 
         def row() -> dict:
-            return {"conv_id": conv, "n_turns": n, "turns_sha256": turns.hexdigest(), "loss_chars": trained, "loss_sha256": loss.hexdigest(), "formatted_chars": chars, "valid": valid and state in ACCEPTING}
+            parser.end()
+            trained.end()
+            return {
+                "conv_id": conv, "n_turns": n, "turns_sha256": turns.hexdigest(), "loss_chars": trained.chars,
+                "loss_sha256": trained.digest.hexdigest(), "formatted_chars": chars, "valid": state in ACCEPTING,
+            }
 
-        state = "start"
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 if not seen or r["conv_id"] != conv:
                     if seen:
                         out.append(row())
-                    conv, seen, state, valid = r["conv_id"], True, "start", True
-                    turns, loss, n, chars, trained = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+                    conv, seen, state, n, chars = r["conv_id"], True, "start", 0, 0
+                    parser, trained, turns = Parser(template), Trained(codec), hashlib.sha256()
                 chars += len(r["text"])
-                if r["part"] == "open":
-                    role = roles.get(r["text"])
-                    if role is None:
-                        role = codec.read(r["text"][len(template.other[0]) : -len(template.other[1])])
-                    turns.update(role.encode() + b"\n")
+                trained.feed(r["text"], r["loss"])
+                for role, said in parser.feed(r["text"]):
+                    turns.update(f"{role}\n{said}\n".encode())
+                    state = TURNS.get(state, {}).get(role, "invalid")
                     n += 1
-                elif r["part"] == "text":
-                    said = codec.read(r["text"])
-                    turns.update(said.encode() + b"\n")
-                    if r["loss"]:
-                        loss.update(said.encode())
-                        trained += len(said)
-                state = r["state"]
-                valid = valid and state != "invalid"
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=_DIGEST_SCHEMA)
         if seen:

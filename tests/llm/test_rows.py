@@ -219,6 +219,27 @@ def test_chat_marks_only_where_meant():
         assert codec.read(coded) == text and not any(m in coded for m in template.control)
 
 
+def test_chat_text_alone_is_parsed():
+    """Formatted text, cut anywhere, gives back the turns; cut short or without marks it is an error."""
+    template = chat.Template()
+    codec, rng = chat.Codec(template), random.Random(8)
+    for _ in range(300):
+        turns = [(rng.choice(["system", "user", "assistant", "tool", "", " [/ROLE]"]), "".join(rng.choices([*template.control, template.escape, "<", "</", "[", " ", "\n", "s>", "/INST]"], k=rng.randint(0, 6)))) for _ in range(4)]
+        text = ""
+        for role, said in turns:
+            before = template.opening.get(role) or template.other[0] + codec.write(role) + template.other[1]
+            text += before + codec.write(said) + template.closing.get(role, template.other[2])
+        cuts = sorted(rng.choices(range(len(text) + 1), k=rng.randint(0, 30)))
+        parser = chat.Parser(template)
+        assert [t for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True) for t in parser.feed(text[a:b])] == turns
+        parser.end()
+    for wrong in ("[INST] x", "[INST] x [/INST]hello", "[RO"):
+        with pytest.raises(ValueError):
+            parser = chat.Parser(template)
+            list(parser.feed(wrong))
+            parser.end()
+
+
 def test_turn_order(spark):
     orders = {1: "user assistant", 2: "system user assistant user", 3: "assistant user", 4: "user user", 5: "system", 6: "tool", 7: "system user"}
     rows = [(c, t, role, "x") for c, names in orders.items() for t, role in enumerate(names.split())]
