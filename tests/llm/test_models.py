@@ -48,6 +48,35 @@ def test_class_prior():
         assert abs(quality.class_prior(rng.normal(3, 1, 4000), mixed) - share) < 0.06
 
 
+def test_quality_sums_cover_all_rows(spark):
+    """Counts of scores and the gradient over all texts, added up by Spark, equal those of one matrix."""
+    features = quality.shapes(spark.read.parquet(f"{SF_DIR}/documents.parquet")).repartition(5).cache()
+    x = np.array([r.features for r in features.collect()])
+    net = quality.Net(x.mean(0), np.maximum(x.std(0), 0.02))
+    n, loss, slopes = quality.unlabelled_sums(features, net)
+    want = net.as_negative(x)
+    assert n == want[0] == len(x) and abs(loss - want[1]) < 1e-6 * abs(want[1])
+    assert all(np.allclose(a, b, rtol=1e-6, atol=1e-6) for a, b in zip(slopes, want[2], strict=True))
+    logits = net.logits(net.inputs(x))[0]
+    counts = quality.score_counts(features, net)
+    assert counts.sum() == len(x)
+    assert (counts == np.bincount(((logits + 30) * quality.BINS_PER_UNIT).astype(int), minlength=len(counts))).all()
+    rng = np.random.default_rng(4)
+    positive = rng.normal(2, 1, 5000)
+    mixed = np.concatenate([rng.normal(2, 1, 3000), rng.normal(-2, 1, 7000)])
+    binned = [np.bincount(((v + 30) * quality.BINS_PER_UNIT).astype(int), minlength=len(counts)) for v in (positive, mixed)]
+    assert abs(quality.counted_prior(*binned) - quality.class_prior(positive, mixed)) < 0.01
+
+
+def test_held_out_ranking(spark):
+    """Area under the curve of held-out scores: a good text ranks above a bad one."""
+    sf_dir = SF_DIR.replace("sf0.001", "sf0.01")
+    got = QUERIES["op9_quality"](spark, sf_dir).toPandas().merge(pd.read_parquet(f"{sf_dir}/labels.parquet"), on="doc_id")
+    held = got[got.held_out]
+    rank, good = held.score.rank(), held.quality == 1
+    assert (rank[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum()) > 0.99
+
+
 def brute_nearest(rows, every, k):
     valid = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = {}
