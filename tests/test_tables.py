@@ -2,9 +2,11 @@
 
 import logging
 
+import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
+from kilnwatt.checks import queries as q
 from kilnwatt.functions.measures import nan_to_null
 from kilnwatt.operators import filters as flt
 from kilnwatt.operators import joins, quality
@@ -255,3 +257,16 @@ def test_tables_exist_odd(spark, tmp_path):
     tables.create_table(spark, str(tmp_path / "narrow"), "time timestamp, usage_kwh double", by=())
     found = quality.tables_exist(spark, {n: (str(tmp_path / n), RAW_DDL) for n in ("raw", "narrow", "missing")})
     assert [(r.check, r.value, r.passed) for r in found.collect()] == [("exists:raw", 11.0, True), ("exists:narrow", 2.0, False), ("exists:missing", 0.0, False)]
+
+
+@pytest.mark.parametrize("values, want", [([50.0] * 4 + [150.0], {"raw": 5, "processed": 2, "anomalies": 1, "costs": 5, "narrow": 5}), ([], dict.fromkeys(("raw", "processed", "anomalies", "costs", "narrow"), 0))])
+def test_table_check_writes_the_four_tables(spark, tmp_path, monkeypatch, values, want):
+    """The tables looked up hold the rows of the test data; those without rows are tables too."""
+    events = spark.createDataFrame([(i, f"2024-01-01 0{i}:00:00", i, "view", v, '{"k": 1}') for i, v in enumerate(values)], q.GIVEN["events"].replace("ts timestamp", "ts string"))
+    events.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(q, "fresh_path", lambda spark, label: str(tmp_path / label))
+    found = {r.check: (r.value, r.passed) for r in q.dq_tables_exist(spark, str(tmp_path)).collect()}
+    four = {"raw": 11.0, "processed": 30.0, "anomalies": 5.0, "costs": 5.0}
+    assert {n: found[f"exists:{n}"] for n in four} == {n: (columns, True) for n, columns in four.items()}
+    assert [found[f"exists:{n}"] for n in ("narrow", "missing", "events", "orders")] == [(2.0, False), (0.0, False), (6.0, True), (0.0, False)]
+    assert {n: spark.read.parquet(str(tmp_path / "store" / n)).count() for n in want} == want
