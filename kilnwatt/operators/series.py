@@ -29,10 +29,12 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above, th
 class Layout:
     """How finely a series is cut.
 
-    rows_per_task: intended size of a slot or range partition.
+    rows_per_task: intended size of a cut, which is a slot or a part of a range partition.
     least_tasks: cuts of the smallest series, so that it takes the same way as a long one.
-    max_tasks: bounds the number of slots or range partitions, hence the per-slot counts kept on the driver and
-    the bookkeeping rows that are broadcast.
+    max_tasks: bounds the number of cuts, hence the per-slot counts kept on the driver and the bookkeeping rows that
+    are broadcast.
+    rows_per_partition: smaller cuts share Spark partitions of this size, since each of those costs a task, a result
+    for the driver, keys sampled for its range, and a file.
     hot_factor: a slot this many times larger than intended sends the series to the path by positions.
     chunk_rows: length of a run of positions; the row count Spark keeps in memory per window group by default.
     """
@@ -40,12 +42,21 @@ class Layout:
     rows_per_task: int = 250_000
     least_tasks: int = 8
     max_tasks: int = 200_000
+    rows_per_partition: int = 250_000
     hot_factor: int = 4
     chunk_rows: int = 4096
 
     def tasks_for(self, rows: int) -> int:
         return max(self.least_tasks, min(self.max_tasks, math.ceil(rows / self.rows_per_task)))
 
+    def partitions_for(self, rows: int) -> int:
+        """Spark partitions that hold the cuts: as many as cuts, unless these are small."""
+        return min(self.tasks_for(rows), max(self.least_tasks, math.ceil(rows / self.rows_per_partition)))
+
+    def cut_rows(self, rows: int) -> int:
+        """Length of the cuts of a range partition; its last one is shorter."""
+        return max(1, math.ceil(rows / self.tasks_for(rows)))
+
     def too_hot(self, largest: int, rows: int) -> bool:
         return largest > self.hot_factor * max(self.rows_per_task, rows / self.tasks_for(rows))
 
@@ -202,7 +213,10 @@ def index_series(
     layout: Layout = DEFAULT_LAYOUT,
     rows: int | None = None,
 ) -> DataFrame:
-    """Range partition, sort, and fix `_task` (range partition) and `_pos` (position inside it) in a written table.
+    """Range partition, sort, and fix `_task` (a cut of a range partition) and `_pos` (position inside it) in a written table.
+
+    A cut is named by the place of its first row, so cuts are in the order of the series. Range partitions hold several
+    small ones.
 
     The table is written because a range partitioning is sampled anew each time it is planned. Ranges are cut by the
     whole order of the series, so a tie is cut as a plain window would order it; only rows that are equal in every key
@@ -211,21 +225,22 @@ def index_series(
     rows = df.count() if rows is None else rows
     spread = df.withColumn("_spread", F.monotonically_increasing_id())
     order = series_order(df, time, tiebreak, values)
-    ranged = spread.repartitionByRange(layout.tasks_for(rows), *order, "_spread").drop("_spread")
+    ranged = spread.repartitionByRange(layout.partitions_for(rows), *order, "_spread").drop("_spread")
     placed = ranged.sortWithinPartitions(*order).withColumn(
         "_at", F.monotonically_increasing_id()
     )
     at = F.col("_at")
+    place = at.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
         materialise(placed, "series")
-        .withColumn("_task", F.shiftright(at, _POSITION_BITS))
-        .withColumn("_pos", at.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+        .withColumn("_pos", place % F.lit(layout.cut_rows(rows)))
+        .withColumn("_task", at - F.col("_pos"))
         .drop("_at")
     )
 
 
 def task_starts(indexed: DataFrame) -> DataFrame:
-    """Global position of each range partition's first row: one row per partition, at most `max_tasks`."""
+    """Global position of each cut's first row: one row per cut, at most `max_tasks` and one per range partition."""
     sizes = indexed.groupBy("_task").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
@@ -257,7 +272,7 @@ def by_position(
     )
     frames = Frames(Window.partitionBy("_chunk").orderBy("_idx"))
     return (
-        copies.repartition(layout.tasks_for(rows), "_chunk")
+        copies.repartition(layout.partitions_for(rows), "_chunk")
         .withColumns(build(frames))
         .where(F.col("_chunk") == F.col("_home"))
         .drop("_task", "_pos", "_start", "_idx", "_home", "_chunk")
@@ -294,8 +309,8 @@ def running_sum_by_date(
 ) -> DataFrame:
     """Running sum that restarts at midnight; null values stay null.
 
-    Dates of counted, moderate size are window partitions. Otherwise a date is summed inside each range
-    partition and continued with the total of its earlier partitions, so that one date spreads over many tasks.
+    Dates of counted, moderate size are window partitions. Otherwise a date is summed inside each cut of the range
+    partitions and continued with the total of its earlier cuts, so that one date spreads over many tasks.
     """
     day = F.to_date(time)
     order = series_order(df, time, tiebreak, [value])
@@ -309,7 +324,7 @@ def running_sum_by_date(
 
     indexed = index_series(df, time, tiebreak, [value], layout, rows).withColumn("_date", day)
     before = Window.partitionBy("_on").orderBy("_after").rowsBetween(Window.unboundedPreceding, -1)
-    # Range partitions are contiguous in time: there are at most `max_tasks` + dates of these totals.
+    # Cuts are contiguous in time: these totals are at most `max_tasks`, one per range partition and one per date.
     carried = (
         indexed.groupBy(F.col("_date").alias("_on"), F.col("_task").alias("_after"))
         .agg(F.sum(value).alias("_part"))
@@ -340,7 +355,7 @@ def pad_forward(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_pos"))).alias("_last")
     )
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition: bounded by `max_tasks`.
+    # One row per cut: bounded by `max_tasks` and one per range partition.
     carried = latest.select("_task", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
     inside = Window.partitionBy("_task").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (

@@ -1,6 +1,7 @@
 """Windows over the whole series: every way of cutting it equals the plain window."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from conftest import column
@@ -182,3 +183,21 @@ def test_sort_is_whole_and_ordered(spark):
 def test_reach_must_fit(spark):
     with pytest.raises(ValueError):
         rolled(numbers(spark, 50), sr.Layout(rows_per_task=10, chunk_rows=50, hot_factor=0))
+
+
+def fine_and_coarse(spark, hot_factor):
+    """1,600 readings cut in 160, and the same cuts in eight Spark partitions."""
+    df = numbers(spark, 1600, nulls=0.1, crowd=0.02)
+    cuts = sr.Layout(rows_per_task=10, chunk_rows=95, hot_factor=hot_factor, rows_per_partition=10)
+    return df, cuts, replace(cuts, rows_per_partition=200)
+
+
+def test_small_cuts_share_range_partitions(spark):
+    """Cuts keep their size; range partitions, files and tasks follow the rows, not the cuts."""
+    df, apart, shared = fine_and_coarse(spark, 0)
+    assert (shared.tasks_for(1600), shared.partitions_for(1600), apart.partitions_for(1600)) == (160, 8, 160)
+    indexed = sr.index_series(df, tiebreak=["id"], layout=shared)
+    sizes = column(indexed.groupBy("_task").count(), "count")
+    assert len(indexed.inputFiles()) <= 8 and 160 <= len(sizes) <= 168 and max(sizes) == 10 and sum(sizes) == 1600
+    assert ft.add_rolling(df, tiebreak=["id"], layout=shared).rdd.getNumPartitions() == 8
+    assert rolled(df, shared) == rolled(df, apart)
