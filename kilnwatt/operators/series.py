@@ -332,7 +332,7 @@ def running_sum_by_date(
     )
     inside = Window.partitionBy("_date", "_task").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        indexed.repartition(layout.tasks_for(rows), "_date", "_task")
+        indexed.repartition(layout.partitions_for(rows), "_date", "_task")
         .withColumn(into, F.sum(value).over(inside))
         .join(F.broadcast(carried), F.col("_date").eqNullSafe(F.col("_on")) & (F.col("_task") == F.col("_after")))
         .withColumn(into, F.col("_carry") + running)

@@ -201,3 +201,11 @@ def test_small_cuts_share_range_partitions(spark):
     assert len(indexed.inputFiles()) <= 8 and 160 <= len(sizes) <= 168 and max(sizes) == 10 and sum(sizes) == 1600
     assert ft.add_rolling(df, tiebreak=["id"], layout=shared).rdd.getNumPartitions() == 8
     assert rolled(df, shared) == rolled(df, apart)
+
+
+def test_small_cuts_of_running_sums_share_partitions(spark):
+    df, apart, shared = fine_and_coarse(spark, 0)
+    sums = [sr.running_sum_by_date(df, tiebreak=["id"], layout=layout) for layout in (shared, apart)]
+    assert sums[0].rdd.getNumPartitions() == 8
+    found = [sorted(map(str, s.select("id", F.round("cumulative_daily", 4)).collect())) for s in sums]
+    assert found[0] == found[1] and len(found[0]) == 1600
