@@ -199,8 +199,8 @@ def by_slot(
         .select(*carried, F.col("_to").alias("_slot"), F.lit(True).alias("_halo"))
     )
     body = df.withColumn("_slot", slots.of).withColumn("_halo", F.lit(False))
-    # One task per slot: hashing the slot numbers would put several into one task.
-    slotted = body.unionByName(halo, allowMissingColumns=True).repartitionById(layout.tasks_for(rows), "_slot")
+    # Slots are dealt out in turn, large ones to a task each: hashing their numbers would put several into one task.
+    slotted = body.unionByName(halo, allowMissingColumns=True).repartitionById(layout.partitions_for(rows), "_slot")
     frames = Frames(Window.partitionBy("_slot").orderBy(*series_order(df, time, tiebreak, values)))
     return slotted.withColumns(build(frames)).where(~F.col("_halo")).drop("_slot", "_halo")
 

@@ -209,3 +209,11 @@ def test_small_cuts_of_running_sums_share_partitions(spark):
     assert sums[0].rdd.getNumPartitions() == 8
     found = [sorted(map(str, s.select("id", F.round("cumulative_daily", 4)).collect())) for s in sums]
     assert found[0] == found[1] and len(found[0]) == 1600
+
+
+def test_small_slots_share_partitions(spark):
+    """Slots keep their size; the tasks follow the rows, not the slots."""
+    df, apart, shared = fine_and_coarse(spark, 10_000)
+    assert ft.add_rolling(df, tiebreak=["id"], layout=shared).rdd.getNumPartitions() == 8
+    assert len(sr.count_slots(df, "time", 15, shared).counts) > 80
+    assert rolled(df, shared) == rolled(df, apart)
