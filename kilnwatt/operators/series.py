@@ -359,7 +359,7 @@ def pad_forward(
     carried = latest.select("_task", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
     inside = Window.partitionBy("_task").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        indexed.repartition(layout.tasks_for(rows), "_task")
+        indexed.repartition(layout.partitions_for(rows), "_task")
         .join(F.broadcast(carried), "_task")
         .withColumn(into, F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("_carry")))
         .select(*df.columns, into)

@@ -217,3 +217,11 @@ def test_small_slots_share_partitions(spark):
     assert ft.add_rolling(df, tiebreak=["id"], layout=shared).rdd.getNumPartitions() == 8
     assert len(sr.count_slots(df, "time", 15, shared).counts) > 80
     assert rolled(df, shared) == rolled(df, apart)
+
+
+def test_small_cuts_of_padding_share_partitions(spark):
+    df, apart, shared = fine_and_coarse(spark, 10_000)
+    pads = [sr.pad_forward(df, "usage_kwh", "filled", tiebreak=["id"], layout=layout) for layout in (shared, apart)]
+    assert pads[0].rdd.getNumPartitions() == 8
+    assert sorted(map(tuple, pads[0].select("id", "filled").collect())) == sorted(map(tuple, pads[1].select("id", "filled").collect()))
+    assert rolled(df, shared, fill="pad") == rolled(df, apart, fill="pad")
