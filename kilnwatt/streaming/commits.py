@@ -56,7 +56,8 @@ class Store:
             by_date = dated(rows).hint("rebalance", "date").sortWithinPartitions("date", "time")
             by_date.write.mode("overwrite").partitionBy("date").parquet(path)
         else:
-            rows.coalesce(1).write.mode("overwrite").parquet(path)
+            # Few files, none of them by one task if the rows are many.
+            rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
     def commit(self, spark: SparkSession, first: int, last: int | None = None) -> None:
         """Make a batch, or a merged run, visible in all tables. The record is one file, which appears as a whole."""

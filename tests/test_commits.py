@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kilnwatt.checks import testbed as tb
 from kilnwatt.schemas import RAW_DDL
+from kilnwatt.session import settings
 from kilnwatt.sources import topic
 from kilnwatt.streaming import jobs
 from kilnwatt.streaming.commits import Store, due, live
@@ -198,3 +199,19 @@ def test_unique_state_is_bounded_by_the_watermark(spark, raw, tmp_path):
     assert max(r.state_rows for r in metrics) <= 100 + 9 and metrics[-1].state_rows <= 10
     assert sum(r.late for r in metrics) >= 190 and metrics[-1].total == 401
     assert os.path.isdir(f"{folder}/commits")
+
+
+def test_tables_without_time_are_written_by_several_tasks(spark, tmp_path):
+    """Many dead letters of one batch aren't one task's; few of them are one file."""
+    store = Store(str(tmp_path), {"dead_letters": "value string, reason string"})
+    store.create(spark)
+    letters = spark.range(0, 20_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("value"), F.lit("unreadable").alias("reason"))
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+        for batch_id, rows in enumerate((letters, letters.limit(50), letters.limit(0))):
+            store.write("dead_letters", rows, batch_id)
+            store.commit(spark, batch_id)
+    kept = store.read(spark, "dead_letters")
+    assert {r.batch_id: r["count"] for r in kept.groupBy("batch_id").count().collect()} == {0: 20_000, 1: 50}
+    files = [sum(f"/batch_id={b}/" in f for f in kept.inputFiles()) for b in range(3)]
+    assert files[0] >= 4 and files[1] == 1 and files[2] <= 1
+    assert kept.where("batch_id = 0").select("value", "reason").exceptAll(letters).isEmpty()
