@@ -27,6 +27,11 @@ END_ID = 0
 #: Words whose ids a task remembers; the memory is emptied when full.
 REMEMBERED = 500_000
 
+#: Lower-case words of a-z and the letters U+00DF to U+00FF in UTF-8, and the characters by which byte-level tokenizers
+#: spell those of their bytes that aren't printable in Latin-1.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_SPELT = {0x9F: 0x141, 0xA0: 0x142, 0xAD: 0x143}
+
 PIECES = "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -50,19 +55,23 @@ class WordIds:
         self._mark = re.compile("|".join(re.escape(m) for m in sorted(self._marks, key=len, reverse=True)))
         self._tokenizer.encode_special_tokens = True  # what is left between marks has none
         self._stops = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n]|$)")
+        self._spelt = "ByteLevel(" in str(self._tokenizer.pre_tokenizer)
         self._known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
         if len(self._known) + len(words) > REMEMBERED:
             self._known.clear()
-        # What the tokenizer does before its model is the identity on words of a-z.
-        plain = self._tokenizer.model.tokenize
+        # What the tokenizer does before its model only spells bytes as characters in words of these letters.
+        plain, spelt, rest = self._tokenizer.model.tokenize, self._spelt, []
         for w in words:
             if w.isalpha():
                 self._known[w] = array("I", [t.id for t in plain(w.decode())]).tobytes()
-        words = [w for w in words if not w.isalpha()]
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
+            elif spelt and _LETTERS.fullmatch(w):
+                self._known[w] = array("I", [t.id for t in plain(w.decode("latin-1").translate(_SPELT))]).tobytes()
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
             made = self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             self._known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, made, strict=True))
 
@@ -86,11 +95,15 @@ class WordIds:
         words = self._stops.sub(rb" \1", text.encode().lower()).split()
         for at in range(0, len(words), REMEMBERED // 4):
             part = words[at : at + REMEMBERED // 4]
-            if missing := set(part).difference(known):
-                self._learn(list(missing))
-                if missing := set(part).difference(known):
-                    self._learn(list(missing))
-            out.append(b"".join([known[w] for w in part]))
+            ids = [*map(known.get, part)]
+            try:
+                out.append(b"".join(ids))
+            except TypeError:  # some are new: a look for them first would cost a step per word of every text
+                new = [i for i, found in enumerate(ids) if found is None]
+                self._learn(list({part[i] for i in new}))
+                for i in new:
+                    ids[i] = known[part[i]]
+                out.append(b"".join(ids))
         return b"".join(out)
 
 
