@@ -1,7 +1,9 @@
 """Substring, suffix-array and Jaccard dedup against brute force, and their parts against naive versions."""
 
 import hashlib
+import os
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,6 +12,7 @@ from llm_brute import jaccard_groups, repeated_bytes, repeated_words
 from llm_fixtures import docs, in_order, odd_rows, real  # noqa: F401
 
 from kilnwatt.llm import anchors, graph, jaccard, substrings, suffixes
+from kilnwatt.session import drop_materialised, shared_dir
 
 
 @pytest.mark.parametrize("part", [anchors.PART, 300])
@@ -243,3 +246,42 @@ def test_large_families_are_cut_by_size(spark, monkeypatch):
 def test_pairs_of_empty_and_disjoint_sets_share_nothing():
     none, some = np.zeros(0, dtype=np.uint64), np.arange(9, dtype=np.uint64)
     assert jaccard.shared_counts([none, some], [some + np.uint64(5), none]).tolist() == [[0, 0], [4, 0]]
+
+
+def test_only_segments_alike_beside_their_anchor_are_sorted():
+    rng = random.Random(11)
+    some = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    gram, tokens = some(16), anchors.Tokens("bytes")
+    anchor = tokens.rolling.grams(tokens.read(gram)[0], 16).view(np.int64)[0]
+    before, behind = some(17), some(17)
+    bodies = [some(17) + gram + some(17), some(17) + gram + some(17), some(20) + before + gram + some(17), some(3) + before + gram + some(14), some(34) + gram + behind + some(2)]
+    bodies += [gram + behind + some(17), some(18) + before[1:] + gram + some(16) + b"x"]
+    assert suffixes.alike(bodies, np.full(len(bodies), anchor)).tolist() == [False, False, True, True, True, True, False]
+
+
+def test_shared_windows_are_never_left_out_of_the_sort():
+    rng = random.Random(12)
+    for letters in ("ab", "abcdefgh "):
+        pool = ["".join(rng.choice(letters) for _ in range(n)) for n in (20, 45, 60, 120, 200)]
+        texts = ["".join(rng.choice(pool) for _ in range(8)).encode() for _ in range(12)] + [b"ab" * 200, b"a" * 300, b"ab" * 90 + b"c" + b"ab" * 80]
+        found = set()
+        for part, first, count, anchor in anchors.segments_of(texts, anchors.Scheme("bytes", 50, 16), anchors.Tokens("bytes")):
+            for f, n, a in zip(first.tolist(), count.tolist(), anchor.view(np.int64).tolist(), strict=True):
+                at = int(part.start[f])
+                found.add((a, texts[part.owner[f]][at : at + n + 49]))
+        keys = sorted(found)
+        times = Counter((a, w) for a, body in keys for w in {body[i : i + 50] for i in range(len(body) - 49)})
+        kept = suffixes.alike([b for _, b in keys], np.array([a for a, _ in keys]))
+        shared = [any(times[a, body[i : i + 50]] > 1 for i in range(len(body) - 49)) for a, body in keys]
+        assert any(shared) and not (np.array(shared) & ~kept).any()
+
+
+def scratch(spark):
+    """Names of the written tables that are still there."""
+    return sorted(re.sub("-[0-9a-f]{32}$", "", name) for name in os.listdir(shared_dir(spark).removeprefix("file://")))
+
+
+def test_suffix_dedup_leaves_only_what_its_result_reads(spark, docs, odd_rows):
+    drop_materialised(spark)
+    suffixes.cleaned(docs(odd_rows))
+    assert scratch(spark) == ["anchor-results"]
