@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kilnwatt.llm.common import phase
 from kilnwatt.llm.decontaminate import _small
+from kilnwatt.session import discard
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -22,15 +23,17 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        least = _small(phase(least, f"{label}-least"))
-        larger = _directed(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        least = phase(least, f"{label}-least")
+        larger = _directed(both.filter("b > a").join(_small(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         larger = phase(larger, f"{label}-large")
         lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
         lowest = phase(lowest, f"{label}-lowest")
         joined = larger.join(_small(lowest), "a")
         smaller = joined.select("b", "m").unionByName(lowest.select(F.col("a").alias("b"), "m"))
         following = phase(_directed(smaller.select(F.col("b").alias("a"), F.col("m").alias("b"))), f"{label}-small")
-        if _same(now, following):
+        same = _same(now, following)
+        discard(now, least, larger, lowest)
+        if same:
             return following.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(following.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         now = following
 

@@ -3,7 +3,8 @@
 Distances between unrelated texts crowd near 1, so cells around pivot documents alone would replicate everything
 everywhere (two radii are wider than the spread of the distances). The first pivots are therefore shares of the shingle
 space: two sets within the radius differ in at most D shingles, so of more than D disjoint shares that have some of a
-set's shingles they agree exactly in one, and a set belongs to the region of each share with its own content. Regions that have a member in common form a family;
+set's shingles they agree exactly in one, and a set belongs to the region of each share with its own content. Sets with too many
+shingles of their own have no links and go no further. Regions that have a member in common form a family;
 no link leaves a family. Families beyond a size are split by pivot documents into Voronoi regions, a document also going
 to each region whose pivot is at most two radii further than its nearest, again and again while that helps; what stays
 large is cut into blocks by size, and every two blocks whose sizes allow a link are compared. All comparisons count
@@ -30,6 +31,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Sizes of a class differ by less than this factor, or by 100 / percent if that is more.
 SPREAD = 1.25
+#: One in so many shingles is looked for in other sets first.
+SEEN = 3
 #: Divisions of the shingle space, tried in turn for sets whose shingles lie in too few shares.
 DIVISIONS = 4
 #: Rows of (signature) to be broadcast.
@@ -173,6 +176,34 @@ def _meta(docs: DataFrame, shingle: int) -> DataFrame:
     return phase(rows.mapInArrow(lean(read), "doc_id long, row_key long, id long, n_shingles long, set_key long, set_key2 long"), "jaccard-meta")
 
 
+def _likely(docs: DataFrame, meta: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(set_key, text): a document of each set that may be linked with another one; equal rows are all there.
+
+    At most 100 - percent of 100 shingles of a linked set are in no other set. That holds for any part of them too: a set
+    with more shingles of its own among one in SEEN has no link.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens("words")
+        for batch in batches:
+            for _, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens, shingle):
+                own = np.repeat(digests(begin, grams)[0], np.diff(begin, append=len(grams)))
+                seen = grams % U(SEEN) == 0
+                yield pa.record_batch([pa.array(grams[seen].view(np.int64)), pa.array(own[seen])], names=["shingle", "set_key"])
+
+    sent = docs.select("text").mapInArrow(lean(read), "shingle long, set_key long")
+    # As in _regions: copies of a set send the same rows, and a shingle's row only has the least and greatest of its sets.
+    alone = sent.groupBy("shingle").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).filter("a = b")
+    alone = phase(alone.groupBy(F.col("a").alias("_set")).agg(F.count(F.lit(1)).alias("alone")), "jaccard-alone")
+    sets = meta.filter("n_shingles > 0").groupBy("set_key", "set_key2").agg(F.min("row_key").alias("_row"), F.min("n_shingles").alias("n"))
+    may = sets.join(alone, F.col("set_key") == F.col("_set"), "left").filter(F.coalesce("alone", F.lit(0)) * 100 <= F.lit(100 - percent) * F.col("n"))
+    may = phase(may.select("set_key", "_row"), "jaccard-may")
+    rows = docs.select(row_key().alias("row_key"), "text").join(_small(may), F.col("row_key") == F.col("_row"))
+    likely = phase(rows.select("set_key", "text"), "jaccard-likely")
+    discard(alone, may)
+    return likely
+
+
 def _regions(docs: DataFrame, most: int, shingle: int, percent: int) -> DataFrame:
     """(set_key, signature) of signatures that at least two different sets have."""
     sizes = Sizes(most, percent)
@@ -190,25 +221,27 @@ def _regions(docs: DataFrame, most: int, shingle: int, percent: int) -> DataFram
     # least and greatest of its sets.
     spread = sent.groupBy("signature").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).filter("a <> b").select("signature")
     spread = phase(spread, "jaccard-spread")
-    return sent.join(_small(spread, SIGNATURES), "signature").select("set_key", "signature").distinct()
+    regions = phase(sent.join(_small(spread, SIGNATURES), "signature").select("set_key", "signature").distinct(), "jaccard-regions")
+    discard(spread)
+    return regions
 
 
-def _members(docs: DataFrame, meta: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(set_key, shingles): one row for each wanted set, read from the text of its first document."""
-    firsts = meta.groupBy("set_key", "set_key2").agg(F.min("id").alias("id")).join(wanted, "set_key").select(F.col("id").alias("_id"), F.col("set_key").alias("_set"))
+def _members(likely: DataFrame, named: DataFrame, shingle: int) -> DataFrame:
+    """(region, set_key, shingles): one row for each set of `named`, read from the text of its document."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens("words")
         for batch in batches:
-            want = batch.column("_set").to_numpy()
+            want, region = batch.column("set_key").to_numpy(), batch.column("region")
             for row, begin, grams in shingle_sets(_encoded(batch.column("text")), tokens, shingle):
                 ends = np.append(begin[1:], len(grams))
                 key = digests(begin, grams)[0]
                 for i in np.flatnonzero(key == want[row]).tolist():
-                    yield pa.record_batch([pa.array(key[i : i + 1]), pa.array([grams[begin[i] : ends[i]].tobytes()], pa.binary())], names=["set_key", "shingles"])
+                    own = region.slice(int(row[i]), 1)
+                    yield pa.record_batch([own, pa.array(key[i : i + 1]), pa.array([grams[begin[i] : ends[i]].tobytes()], pa.binary())], names=["region", "set_key", "shingles"])
 
-    rows = docs.select(order_id().alias("id"), "text").join(_small(phase(firsts, "jaccard-firsts")), F.col("id") == F.col("_id"))
-    return rows.select("text", "_set").mapInArrow(lean(read), "set_key long, shingles binary").dropDuplicates(["set_key"])
+    rows = likely.join(_small(named), "set_key").select("region", "set_key", "text")
+    return rows.mapInArrow(lean(read), "region long, set_key long, shingles binary").dropDuplicates(["set_key"])
 
 
 class Inverted:
@@ -364,7 +397,11 @@ def _split(rows: DataFrame, big: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect what is linked within each region, each region in one task or in pairs of blocks."""
+    """(a, b): links that connect what is linked within each region, each region in one task or in pairs of blocks.
+
+    If `rows` is a written table, it is deleted once it has been read.
+    """
+    held = rows
     for _ in range(DEPTH):
         counts = phase(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "jaccard-counts")
         big = counts.filter(F.col("n") > REGION)
@@ -383,10 +420,11 @@ def _links(rows: DataFrame, percent: int) -> DataFrame:
         moved = rows.join(parts.join(_small(useful), "region", "left_semi"), ["region", "set_key"])
         moved = moved.select(F.xxhash64("region", "part").alias("region"), "set_key", "shingles")
         rows = phase(stay.select("region", "set_key", "shingles").unionByName(moved), "jaccard-rows")
-        discard(parts)
+        discard(parts, held)
+        held = rows
     counts = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("shingles")).alias("bytes"))
     large = _small(phase(counts.filter((F.col("n") > REGION) | (F.col("bytes") > REGION_BYTES)).select("region"), "jaccard-counts"))
-    return _compared(rows.join(large, "region", "left_anti"), _blocks(rows.join(large, "region", "left_semi")), percent)
+    return _compared(rows.join(large, "region", "left_anti"), _blocks(rows.join(large, "region", "left_semi")), percent, held)
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -419,11 +457,12 @@ def _tasks(packed: DataFrame, percent: int) -> DataFrame:
 BLOCK = "region long, own int, keys binary, lengths binary, shingles binary, size long, least int, most int"
 
 
-def _compared(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+def _compared(small: DataFrame, large: DataFrame, percent: int, held: DataFrame) -> DataFrame:
     """(a, b): links within each small region, and within each two tiles of blocks of a large one whose sizes allow links.
 
     A block becomes one compressed row before it is sent to the tasks of its tile: sets of a family have most shingles in
     common, so this is a fraction of their bytes. Within a task, sets already connected aren't compared with each other.
+    If `held`, from which both come, is a written table, it is deleted once the blocks are packed.
     """
 
     def edges(keys: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
@@ -481,20 +520,23 @@ def _compared(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     columns = ("region", "own", "set_key", "shingles")
     alone = small.withColumn("own", F.lit(0)).select(*columns).repartition("region").sortWithinPartitions("region", "set_key")
     dealt = large.select(*columns).repartition("region", "own").sortWithinPartitions("region", "own", "set_key")
-    packed = phase(dealt.mapInArrow(lean(pack), BLOCK), "jaccard-blocks").withColumn("part", F.floor(F.col("own") / TILE).cast("int"))
+    blocks = phase(dealt.mapInArrow(lean(pack), BLOCK), "jaccard-blocks")
+    packed = blocks.withColumn("part", F.floor(F.col("own") / TILE).cast("int"))
     few = phase(alone.mapInArrow(lean(single), "a long, b long").distinct(), "jaccard-few")
+    discard(held)
     sizes = packed.groupBy("region", "part").agg(F.sum(F.length("shingles")).alias("bytes"))
     tasks = phase(_tasks(packed, percent).join(sizes, ["region", "part"]), "jaccard-tasks")
     # A block goes to every task that needs it. In each round about as many bytes are sent as the blocks have, so the disks
     # hold two copies of them at most, however many tasks a family has.
-    held, sent = (t.agg(F.sum("bytes")).first()[0] or 0 for t in (sizes, tasks))
+    whole, sent = (t.agg(F.sum("bytes")).first()[0] or 0 for t in (sizes, tasks))
     found = few
-    rounds = -(-sent // held) if held else 0
+    rounds = -(-sent // whole) if whole else 0
     for number in range(rounds):
         now = tasks.filter(F.pmod(F.xxhash64("task"), F.lit(rounds)) == number).select("region", "part", "task")
         spread = packed.join(_small(now), ["region", "part"]).select("task", "part", "own", "keys", "lengths", "shingles", "size")
         spread = spread.repartition("task").sortWithinPartitions("task")
         found = found.unionByName(phase(spread.mapInArrow(lean(pairs), "a long, b long").distinct(), "jaccard-pairs"))
+    discard(blocks, tasks)
     return found.distinct()
 
 
@@ -508,15 +550,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     meta = _meta(docs, shingle)
     most = meta.agg(F.max("n_shingles")).first()[0] or 0
-    regions = phase(_regions(docs, most, shingle, percent), "jaccard-regions")
+    likely = _likely(docs, meta, shingle, percent)
+    regions = _regions(likely, most, shingle, percent)
     families = components(_bipartite(regions), "jaccard-families")
     named = families.join(regions.select("set_key").distinct(), F.col("node") == F.col("set_key")).select("set_key", F.col("root").alias("region"))
     named = phase(named, "jaccard-named")
     discard(regions)
-    members = _members(docs, meta, named.select("set_key"), shingle)
-    rows = phase(members.join(named, "set_key").select("region", "set_key", "shingles"), "jaccard-members")
+    rows = phase(_members(likely, named, shingle), "jaccard-members")
+    discard(likely, named)
     groups = components(_links(rows, percent), "jaccard-links").select(F.col("node").alias("set_key"), "root")
-    discard(rows)
     filled = meta.filter("n_shingles > 0")
     sets = filled.groupBy("set_key", "set_key2").agg(F.min("id").alias("least")).join(groups, "set_key", "left")
     sets = phase(sets.withColumn("root", F.coalesce("root", "set_key")), "jaccard-sets")

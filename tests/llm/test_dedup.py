@@ -285,3 +285,29 @@ def test_suffix_dedup_leaves_only_what_its_result_reads(spark, docs, odd_rows):
     drop_materialised(spark)
     suffixes.cleaned(docs(odd_rows))
     assert scratch(spark) == ["anchor-results"]
+
+
+def test_sets_with_shingles_of_their_own_go_no_further(spark, docs):
+    """A shared passage alone doesn't let a set be looked for; near copies, whole copies and small sets are kept."""
+    rng = random.Random(13)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, base = some(40), some(200)
+    near = [base, base[:100] + some(1) + base[101:], base + some(10), [*base[10:], *some(2)]]
+    texts = [*near, base, *(some(150) + passage + some(100) for _ in range(4)), some(300), ["one"], ["two", "words"]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = docs(rows)
+    for shingle, percent in ((3, 90), (5, 80)):
+        likely = {r.text for r in jaccard._likely(df, jaccard._meta(df, shingle), shingle, percent).collect()}
+        assert {" ".join(t) for t in near} <= likely and not {" ".join(t) for t in texts[5:10]} & likely
+        groups = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df, shingle, percent).collect()}
+        assert groups == {i: 0 if i <= 4 else i for i in range(len(rows))}
+
+
+def test_near_duplicates_leave_only_what_their_result_reads(spark, docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "REGION", 12)
+    drop_materialised(spark)
+    jaccard.near_duplicates(docs(odd_rows))
+    left = set(scratch(spark))
+    assert {"jaccard-meta", "jaccard-sets"} <= left
+    assert not left & {"jaccard-alone", "jaccard-likely", "jaccard-spread", "jaccard-regions", "jaccard-members", "jaccard-rows", "jaccard-blocks", "jaccard-tasks"}
+    assert not [name for name in left if name.endswith(("-edges", "-least", "-large", "-lowest"))]
