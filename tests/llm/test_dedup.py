@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_brute import jaccard_groups, repeated_bytes, repeated_words
 from llm_fixtures import docs, in_order, odd_rows, real  # noqa: F401
@@ -276,6 +277,74 @@ def test_shared_windows_are_never_left_out_of_the_sort():
         assert any(shared) and not (np.array(shared) & ~kept).any()
 
 
+def test_finer_pieces_leave_fewer_segments_to_sort_and_no_shared_window():
+    rng = random.Random(13)
+    some = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    gram, tokens = some(16), anchors.Tokens("bytes")
+    anchor = tokens.rolling.grams(tokens.read(gram)[0], 16).view(np.int64)[0]
+    before, behind = some(34), some(34)
+    for near in range(35):  # a window that has `near` bytes before the gram
+        whole = [before + gram + behind, some(34 - near) + before[34 - near :] + gram + behind[: 34 - near] + some(near)]
+        assert suffixes.alike(whole, np.full(2, anchor), pieces=suffixes.PIECES).all()
+    half = [before + gram + b"x" + some(33), before + gram + b"y" + some(33)]
+    apart = [b"x" + before[16:] + gram + behind, b"y" + before[16:] + gram + b"z" + behind[1:]]
+    assert suffixes.alike(half, np.full(2, anchor), pieces=suffixes.PIECES).all()  # a window that ends with the gram
+    assert suffixes.alike(apart, np.full(2, anchor)).all() and not suffixes.alike(apart, np.full(2, anchor), pieces=suffixes.PIECES).any()
+
+
+@pytest.mark.parametrize("pieces", [3, 8, 34])
+def test_pieces_keep_all_shared_windows(pieces):
+    rng = random.Random(14)
+    pool = ["".join(rng.choice("ab ") for _ in range(n)) for n in (20, 45, 60, 120, 200)]
+    texts = ["".join(rng.choice(pool) for _ in range(8)).encode() for _ in range(12)] + [b"ab" * 200, b"a" * 300]
+    found = set()
+    for part, first, count, anchor in anchors.segments_of(texts, anchors.Scheme("bytes", 50, 16), anchors.Tokens("bytes")):
+        for f, n, a in zip(first.tolist(), count.tolist(), anchor.view(np.int64).tolist(), strict=True):
+            at = int(part.start[f])
+            found.add((a, texts[part.owner[f]][at : at + n + 49]))
+    keys = sorted(found)
+    times = Counter((a, w) for a, body in keys for w in {body[i : i + 50] for i in range(len(body) - 49)})
+    kept = suffixes.alike([b for _, b in keys], np.array([a for a, _ in keys]), pieces=pieces)
+    shared = [any(times[a, body[i : i + 50]] > 1 for i in range(len(body) - 49)) for a, body in keys]
+    assert any(shared) and not (np.array(shared) & ~kept).any()
+
+
+def test_marks_of_a_batch_are_read_at_once():
+    rng = random.Random(15)
+    texts = [bytes(rng.choice(b"ab\xc3\xa9") for _ in range(n)) for n in (0, 49, 50, 300, 51, 400, 200, 0, 90)] + [None]
+    ids = [5, 5, 9, 2**63 - 1, 2**63 - 2, 1, 7, 3, 8, 4]
+    first = [None, 2, 3, 2**63 - 1, 2**63 - 1, None, 7, 2, 8, 1]
+    runs = [None, [], [(0, 1)], [], None, [], [(0, 1), (50, 1), (101, 5), (30, 1 << 34)], None, [(40, 1), (0, (1 << 35) - 1)], []]
+    runs[3] = [(n, rng.randrange(1, 1 << 34)) for n in rng.sample(range(0, 215), 5)]
+    runs[3] = [(n, m) for n, m in runs[3] if n + m.bit_length() + 49 <= 300]
+    marks = [r and [{"number": n, "mask": m} for n, m in r] for r in runs]
+    kind = pa.list_(pa.struct([("number", pa.int64()), ("mask", pa.int64())]))
+    whole = pa.record_batch([pa.array(texts, pa.binary()), pa.array(ids), pa.array(first, pa.int64()), pa.array(marks, kind)], names=["text", "_id", "_first_id", "_runs"])
+    for low in (0, 3):
+        data, spans = suffixes.removal(whole.slice(low))
+        for t, own, least, m, d, found in zip(texts[low:], ids[low:], first[low:], marks[low:], data, spans, strict=True):
+            n = len(t or b"")
+            gone = np.full(n, n >= 50) if least is not None and own > least else anchors.covered(anchors.marked_windows(m), 50, n)
+            edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0, append=0))
+            assert d == (t or b"") and found == list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+            assert suffixes.without(d, found) == bytes(b for b, g in zip(d, gone.tolist(), strict=True) if not g)
+
+
+def test_parts_of_bytes_are_small_and_know_their_places():
+    rng = random.Random(16)
+    texts = [bytes(rng.choice(b"ab\n") for _ in range(n)) for n in (0, 60, 20, 70_000, 50, 65_000, 600, 140_000)]
+    seen = Counter()
+    for part in anchors.parts(texts, anchors.Tokens("bytes"), 50):
+        assert len(part.hashes) <= anchors.BYTES_PART + 50
+        for f in np.flatnonzero(part.owner >= 0).tolist()[::97]:
+            assert part.start[f] == part.number[f] == part.end[f] - 1
+            assert anchors.Tokens("bytes").read(texts[part.owner[f]][part.start[f] : part.end[f]])[0][0] == part.hashes[f]
+        n = len(part.owner) - 49
+        whole = part.owner[:n][(part.owner[:n] == part.owner[49:]) & (part.owner[:n] >= 0)]
+        seen.update(whole.tolist())
+    assert seen == {r: len(t) - 49 for r, t in enumerate(texts) if len(t) >= 50}
+
+
 def scratch(spark):
     """Names of the written tables that are still there."""
     return sorted(re.sub("-[0-9a-f]{32}$", "", name) for name in os.listdir(shared_dir(spark).removeprefix("file://")))
